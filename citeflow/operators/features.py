@@ -32,10 +32,9 @@ def frequency_index(df: DataFrame, cols: Sequence[str], name_col: str = "column_
     sqrt(2 * rows) rows), so no window ever sees all values of a column in one
     task unless they all share one count.
     """
-    cells = F.explode(F.array(*[
-        F.struct(F.lit(c).alias(name_col), F.col(c).cast("string").alias(value_col)) for c in cols
-    ])).alias("cell")
-    pairs = df.select(cells).select("cell.*").where(F.col(value_col).isNotNull())
+    cells = ", ".join(f"'{c}', cast(`{c}` as string)" for c in cols)
+    pairs = (df.selectExpr(f"stack({len(cols)}, {cells}) as ({name_col}, {value_col})")
+             .where(F.col(value_col).isNotNull()))
     counts = pairs.groupBy(name_col, value_col).agg(F.count(F.lit(1)).alias("n"))
     levels = counts.groupBy(name_col, "n").agg(F.count(F.lit(1)).alias("k"))
     above = Window.partitionBy(name_col).orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)

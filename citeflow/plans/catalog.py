@@ -408,4 +408,142 @@ def q_category_index(spark, sf_dir):
 @register("label_index", _index_sql([K.TARGET]))
 def q_label_index(spark, sf_dir):
     return frequency_index(_train(spark, sf_dir), [K.TARGET])
-FLAGSHIP = "value_share_violation_county"
+
+
+# ---------------------------------------------------------------- features and models
+
+def _index_join_sql() -> str:
+    """Test rows with every category replaced by its train-fitted index
+    (unseen -> number of labels), plus the label index: the assembled features."""
+    joins, feats = [], []
+    for i, c in enumerate(K.CATEGORY_COLUMNS + [K.TARGET]):
+        joins.append(f"LEFT JOIN (SELECT value, idx FROM ix WHERE column_name = '{c}') j{i} "
+                     f"ON CAST(t.{c} AS VARCHAR) = j{i}.value")
+        out = "label" if c == K.TARGET else f"{c}_index"
+        feats.append(f"coalesce(j{i}.idx, CAST((SELECT count(*) FROM ix WHERE column_name = '{c}') "
+                     f"AS DOUBLE)) AS {out}")
+    body = (f"SELECT t.summons_number, t.month, t.day, t.time_hour, {', '.join(feats)} "
+            f"FROM (SELECT * FROM cleaned_keyed WHERE {SPLIT_SQL} < 1) t " + " ".join(joins))
+    return with_stages("cleaned_keyed", f", ix AS ({_index_body()})\n{body}")
+
+
+def _index_body() -> str:
+    cols = K.CATEGORY_COLUMNS + [K.TARGET]
+    unions = "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n "
+        f"FROM cleaned_keyed WHERE {SPLIT_SQL} >= 1 AND {c} IS NOT NULL GROUP BY {c}" for c in cols)
+    return (f"SELECT column_name, value, n, CAST(row_number() OVER (PARTITION BY column_name "
+            f"ORDER BY n DESC, value) - 1 AS DOUBLE) AS idx FROM ({unions})")
+
+
+def _fitted(spark, sf_dir):
+    from citeflow.plans.batch_job import fit_all
+    return fit_all(spark, sf_dir)
+
+
+def _feature_columns(df: DataFrame) -> DataFrame:
+    from pyspark.ml.functions import vector_to_array
+    arr = vector_to_array("features")
+    return df.select("summons_number", "label",
+                     *[arr[i].alias(name) for i, name in enumerate(K.FEATURES)])
+
+
+@register("assemble_features", _index_join_sql())
+def q_assemble_features(spark, sf_dir):
+    """Test rows through the train-fitted indexers and the 17-slot assembler."""
+    f = _fitted(spark, sf_dir)
+    return _feature_columns(f.features.transform(f.test))
+
+
+@register("decode_labels", with_stages("cleaned_keyed", f""", lbl AS ({_index_body()})
+    SELECT idx, value AS label FROM lbl WHERE column_name = '{K.TARGET}'
+    UNION ALL
+    SELECT CAST(count(*) AS DOUBLE) AS idx, CAST(CAST(count(*) AS DOUBLE) AS VARCHAR) AS label
+    FROM lbl WHERE column_name = '{K.TARGET}'"""))
+def q_decode_labels(spark, sf_dir):
+    """Every class index (incl. the keep bucket) decoded through the fitted labels."""
+    from citeflow.functions.text import decode_label
+    from citeflow.operators.features import label_names
+    f = _fitted(spark, sf_dir)
+    labels = label_names(f.forest)
+    idx = frequency_index(f.train, [K.TARGET]).select("idx")
+    keep = spark.range(1).select(F.lit(float(len(labels))).alias("idx"))
+    return idx.unionByName(keep).select("idx", decode_label("idx", labels).alias("label"))
+
+
+def _predictions(model, test):
+    from citeflow.operators.models import score
+    return score(model, test).select("summons_number", "label", "prediction", "p_target",
+                                     "predicted_label")
+
+
+@register("fit_features")
+def q_fit_features(spark, sf_dir):
+    """Fitted feature stages applied to test rows (indexed columns and vector)."""
+    f = _fitted(spark, sf_dir)
+    return f.features.transform(f.test)
+
+
+@register("train_forest")
+def q_train_forest(spark, sf_dir):
+    f = _fitted(spark, sf_dir)
+    return _predictions(f.forest, f.test)
+
+
+@register("train_tree")
+def q_train_tree(spark, sf_dir):
+    f = _fitted(spark, sf_dir)
+    return _predictions(f.tree, f.test)
+
+
+@register("batch_score")
+def q_batch_score(spark, sf_dir):
+    """Forest scores for every cleaned row (train and test)."""
+    from citeflow.plans.batch_job import materialized_clean
+    f = _fitted(spark, sf_dir)
+    return _predictions(f.forest, materialized_clean(spark, sf_dir))
+
+
+@register("evaluate_model")
+def q_evaluate_model(spark, sf_dir):
+    from citeflow.plans.batch_job import run_job
+    return run_job(spark, sf_dir, models=("random_forest", "decision_tree"))
+
+
+@register("flagship")
+def q_flagship(spark, sf_dir):
+    """The packaged job: clean -> index -> fit forest -> score -> evaluate."""
+    from citeflow.plans.batch_job import run_job
+    return run_job(spark, sf_dir)
+
+
+FLAGSHIP = "flagship"
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    """Save the whole fitted model (overwrite), load it back and score the test rows."""
+    from citeflow.sources.models import load_model, save_model
+    f = _fitted(spark, sf_dir)
+    path = save_model(f.forest, scratch_path(spark, "model"))
+    return _predictions(load_model(path), f.test)
+
+
+@register("topk_probability")
+def q_topk_probability(spark, sf_dir):
+    """Test rows with the highest class-1 probability (distributed top-k)."""
+    f = _fitted(spark, sf_dir)
+    return top_k(_predictions(f.forest, f.test), 5, "p_target",
+                 tie_break=["summons_number", "label", "prediction"])
+
+
+@register("sample_export")
+def q_sample_export(spark, sf_dir):
+    """10,000 test rows with features as doubles, original text columns dropped,
+    written as CSV and read back (the message source for the stream job)."""
+    f = _fitted(spark, sf_dir)
+    rows = f.features.transform(f.test)
+    export = limit_stable(rows.select("summons_number", *K.FEATURES), K.SAMPLE_EXPORT_ROWS,
+                          order_by=["summons_number"] + K.FEATURES)
+    path = write_csv(export, scratch_path(spark, "sample_export"))
+    return read_csv(spark, path, schema=export.schema)
