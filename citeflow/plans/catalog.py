@@ -547,3 +547,54 @@ def q_sample_export(spark, sf_dir):
                           order_by=["summons_number"] + K.FEATURES)
     path = write_csv(export, scratch_path(spark, "sample_export"))
     return read_csv(spark, path, schema=export.schema)
+
+
+# ---------------------------------------------------------------- streaming
+
+def publish_messages(df: DataFrame, path: str) -> str:
+    """Rows -> JSON-lines message files (one file per task) in ``path``."""
+    M.to_messages(df, key=False).write.mode("overwrite").text(path)
+    return path
+
+
+def index_messages(spark, sf_dir):
+    """Test rows as the stream's messages: category indices and numeric features."""
+    f = _fitted(spark, sf_dir)
+    rows = f.features.transform(f.test)
+    return rows.select(*[F.col(c) for c in K.FEATURES])
+
+
+@register("stream_score")
+def q_stream_score(spark, sf_dir):
+    """File-stream source -> parse -> cast -> assemble -> forest -> label text ->
+    Parquet sink with checkpoint, drained with an availableNow trigger."""
+    from citeflow.streaming.scorer import file_message_source, run_available_now, score_messages
+    f = _fitted(spark, sf_dir)
+    src = publish_messages(index_messages(spark, sf_dir), scratch_path(spark, "messages"))
+    sink, ckpt = scratch_path(spark, "scored"), scratch_path(spark, "scored-ckpt")
+    scored = score_messages(file_message_source(spark, src, max_files_per_trigger=1), f.forest)
+    run_available_now(scored, sink, ckpt)
+    return spark.read.parquet(sink)
+
+
+@register("stream_scan", """
+    SELECT event_id, user_id, event_type, value, ts,
+           try_cast(json_extract_string(props, '$.k') AS BIGINT) AS k
+    FROM events""")
+def q_stream_scan(spark, sf_dir):
+    """Events published as JSON messages, read back through a file-stream source
+    with an explicit text schema, cast to their types, sunk to Parquet."""
+    from citeflow.streaming.scorer import file_message_source, run_available_now
+    ev = read_table(spark, sf_dir, "events")
+    src = publish_messages(ev, scratch_path(spark, "events-messages"))
+    fields = ev.columns
+    parsed = M.parse_messages(file_message_source(spark, src), fields)
+    typed = parsed.select(
+        F.col("event_id").try_cast("bigint").alias("event_id"),
+        F.col("user_id").try_cast("bigint").alias("user_id"), "event_type",
+        F.col("value").try_cast("double").alias("value"),
+        F.col("ts").try_cast("timestamp_ntz").alias("ts"),
+        F.from_json("props", "k bigint")["k"].alias("k"))
+    sink, ckpt = scratch_path(spark, "events-sink"), scratch_path(spark, "events-ckpt")
+    run_available_now(typed, sink, ckpt)
+    return spark.read.parquet(sink)
