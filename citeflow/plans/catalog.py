@@ -598,3 +598,28 @@ def q_stream_scan(spark, sf_dir):
     sink, ckpt = scratch_path(spark, "events-sink"), scratch_path(spark, "events-ckpt")
     run_available_now(typed, sink, ckpt)
     return spark.read.parquet(sink)
+
+
+# ---------------------------------------------------------------- attribution
+
+RAW_FEATURES = K.NUMERIC + K.CATEGORY_COLUMNS
+
+
+def _explained_and_background(spark, sf_dir):
+    """The rows explained (first test rows by key) and the background sample
+    (first training rows by key); both sizes are the operator's parameters."""
+    f = _fitted(spark, sf_dir)
+    explain = limit_stable(f.test, K.EXPLAIN_ROWS, ["summons_number"]) \
+        .withColumnRenamed("summons_number", "row_id")
+    background = limit_stable(f.train, K.BACKGROUND_ROWS, ["summons_number"]).select(*RAW_FEATURES)
+    return f, explain, background
+
+
+@register("shapley_attribution")
+def q_shapley_attribution(spark, sf_dir):
+    """Sampled Shapley values of the forest's class-1 probability for 5 rows,
+    100 background rows and 50,000 coalition samples per row."""
+    from citeflow.operators.attribution import attribution_table
+    f, explain, background = _explained_and_background(spark, sf_dir)
+    return attribution_table(f.forest, explain, background, RAW_FEATURES,
+                             samples=K.ATTRIBUTION_SAMPLES, n_background=K.BACKGROUND_ROWS)
