@@ -623,3 +623,27 @@ def q_shapley_attribution(spark, sf_dir):
     f, explain, background = _explained_and_background(spark, sf_dir)
     return attribution_table(f.forest, explain, background, RAW_FEATURES,
                              samples=K.ATTRIBUTION_SAMPLES, n_background=K.BACKGROUND_ROWS)
+
+
+# ---------------------------------------------------------------- synthesis
+
+def _synth_source(spark, sf_dir):
+    from citeflow.plans.batch_job import materialized_clean
+    return materialized_clean(spark, sf_dir).select(*K.CLEANED_COLUMNS)
+
+
+@register("synthesize_rows")
+def q_synthesize_rows(spark, sf_dir):
+    """2,000 look-alike rows learnt from the whole cleaned table in two column
+    batches (joint within a batch, independent across batches)."""
+    from citeflow.operators.synthesis import synthesize
+    return synthesize(_synth_source(spark, sf_dir), K.BATCHES, K.SYNTH_LINES, seed=42)
+
+
+@register("synth_quality")
+def q_synth_quality(spark, sf_dir):
+    """Per batch: requested, generated and valid lines."""
+    from citeflow.operators.synthesis import batch_quality, synthesize
+    src = _synth_source(spark, sf_dir)
+    return batch_quality(synthesize(src, K.BATCHES, K.SYNTH_LINES, seed=42), src, K.BATCHES,
+                         K.SYNTH_LINES)
