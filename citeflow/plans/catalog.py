@@ -395,7 +395,11 @@ def _index_sql(cols, stage="cleaned_keyed") -> str:
 
 
 def _train(spark, sf_dir):
-    train, _ = key_split(cleaned_keyed(spark, sf_dir), split_key(), buckets=5, test_buckets=1)
+    """Training rows of the written cleaned table (model building starts from the
+    processed table, as in the original; it also keeps the optimizer's work on the
+    index plan independent of how the raw columns were derived)."""
+    from citeflow.plans.batch_job import train_test
+    train, _ = train_test(spark, sf_dir)
     return train
 
 

@@ -22,6 +22,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot does not JIT-compile methods over 8000 bytes of bytecode; a
+    # whole-stage-codegen method above that runs interpreted. With this limit
+    # Spark falls back to per-operator code for such (rare, very wide) subtrees.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

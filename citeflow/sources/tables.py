@@ -17,9 +17,25 @@ def resolve_path(path: str) -> str:
     return path
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute an under-split input across the cluster's cores.
+
+    A scan yields one task per file split (one per Parquet row group); a small
+    input stored as a single row group would run every downstream narrow
+    operator in one task. Only when the scan has fewer splits than the default
+    parallelism is a round-robin shuffle added; a large input (thousands of
+    splits) is left untouched, so no full shuffle is ever added at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_splits: bool = True) -> DataFrame:
     """One TESTDATA table (Parquet: columnar, pushdown and pruning for free)."""
-    return spark.read.parquet(f"{resolve_path(sf_dir).rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{resolve_path(sf_dir).rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_splits else df
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
