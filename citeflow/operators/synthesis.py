@@ -69,14 +69,19 @@ def synthesize(source: DataFrame, batches: Sequence[Sequence[str]] = K.BATCHES,
 def batch_quality(synthetic: DataFrame, source: DataFrame,
                   batches: Sequence[Sequence[str]] = K.BATCHES, requested: int = K.SYNTH_LINES) -> DataFrame:
     """Per batch: lines requested, generated, and valid (tuple present in the
-    source, by a semi join on the batch columns), and the valid fraction."""
+    source), and the valid fraction.
+
+    Synthetic tuples are first collapsed to (tuple, count): a tuple drawn many
+    times (a hot source tuple) becomes one row before the semi join against the
+    distinct source tuples, so no join key carries a large share of the rows.
+    """
     parts = []
     for i, cols in enumerate(batches):
-        gen = synthetic.select(*cols)
+        gen = synthetic.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
         valid = gen.join(source.select(*cols).distinct(), list(cols), "left_semi")
-        g = gen.agg(F.count(F.lit(1)).alias("generated"))
-        parts.append(g.select(F.lit(i).alias("batch"), F.lit(requested).alias("requested"),
-                              "generated", valid.select(F.count(F.lit(1))).scalar().alias("valid")))
+        parts.append(gen.agg(F.sum("n").alias("generated")).select(
+            F.lit(i).alias("batch"), F.lit(requested).alias("requested"), "generated",
+            valid.select(F.coalesce(F.sum("n"), F.lit(0))).scalar().alias("valid")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
