@@ -129,3 +129,19 @@ def test_value_shares_sum_to_100(spark, sf_small):
 def test_clean_plan_has_no_shuffle_or_python(spark, sf_small):
     plan = clean_citations(citations(spark, sf_small))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_filters_reach_parquet_on_stored_raw(spark, sf_small, tmp_path):
+    path = str(tmp_path / "raw")
+    citations(spark, sf_small).write.parquet(path)
+    df = clean_citations(spark.read.parquet(path))
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    plan = buf.getvalue()
+    assert "Not(EqualTo(registration_state,99))" in plan and "Not(EqualTo(plate_type,999))" in plan
+    read_schema = [line for line in plan.splitlines() if line.startswith("ReadSchema")][0]
+    assert "summons_number" not in read_schema and "violation_precinct" not in read_schema
+    assert "Exchange" not in plan

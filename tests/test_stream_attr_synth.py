@@ -62,3 +62,30 @@ def test_synthesis_invariants(spark, sf_small):
     g = {r[0]: r[1] for r in syn.groupBy(K.TARGET).count().collect()}
     assert all(abs(g.get(k, 0) / 500 - v / n) < 0.1 for k, v in s.items())
     assert F
+
+
+def test_processing_time_trigger_memory_sink(spark, sf_small):
+    from citeflow.streaming.scorer import start_sink
+    f = fit_all(spark, sf_small, num_trees=5)
+    feats = f.features.transform(f.test).select(*K.FEATURES)
+    src = publish_messages(feats, scratch_path(spark, "t-msgs2"))
+    q = start_sink(score_messages(file_message_source(spark, src), f.forest), None,
+                   scratch_path(spark, "t-ckpt2"), trigger="1 second", fmt="memory",
+                   query_name="scored_messages")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.table("scored_messages").count() == feats.count()
+
+
+def test_paths_and_single_file_sink(spark, sf_small, tmp_path):
+    import os
+    from citeflow.sources.tables import read_csv, resolve_path, write_csv
+    from citeflow.operators.clean import clean_citations
+    from citeflow.sources.fixture import citations
+    assert resolve_path("s3n://bucket/x") == "s3a://bucket/x"
+    out = clean_citations(citations(spark, sf_small))
+    path = write_csv(out, str(tmp_path / "one"), single_file=True)
+    assert len([f for f in os.listdir(path) if f.endswith(".csv")]) == 1
+    assert read_csv(spark, path, schema=out.schema).count() == out.count()
