@@ -73,21 +73,25 @@ def tree(feature_model: PipelineModel, max_depth: int = K.TREE_DEPTH, seed: int
                                   maxMemoryInMB=max_memory_mb)
 
 
-def train_model(train: DataFrame, feature_model: PipelineModel, estimator) -> PipelineModel:
-    """Fit the estimator on featurized training rows; return features + model as
-    one ``PipelineModel`` (the unit that is saved and reused by batch and stream).
+def train_models(train: DataFrame, feature_model: PipelineModel, estimators) -> list[PipelineModel]:
+    """Fit several estimators on one featurization of the training rows; each
+    result is features + model as one ``PipelineModel`` (the unit that is saved
+    and reused by batch and stream).
 
-    The featurized rows are persisted (memory, spilling to disk) for the fit's
+    The featurized rows are persisted (memory, spilling to disk) for the fits'
     passes and released afterwards; a lost block is recomputed from lineage,
     which is deterministic (key split, fitted indexers).
     """
-    feats = feature_model.transform(train).select("features", "label")
-    feats = feats.persist()
+    feats = feature_model.transform(train).select("features", "label").persist()
     try:
-        fitted = estimator.fit(feats)
+        fitted = [est.fit(feats) for est in estimators]
     finally:
         feats.unpersist()
-    return PipelineModel(stages=list(feature_model.stages) + [fitted])
+    return [PipelineModel(stages=list(feature_model.stages) + [m]) for m in fitted]
+
+
+def train_model(train: DataFrame, feature_model: PipelineModel, estimator) -> PipelineModel:
+    return train_models(train, feature_model, [estimator])[0]
 
 
 def score(model: PipelineModel, df: DataFrame, target_class: int = K.TARGET_CLASS,

@@ -73,8 +73,8 @@ def fit_all(spark: SparkSession, sf_dir: str, num_trees: int = K.FOREST_TREES) -
     train = train.persist()
     try:
         feats = MD.fit_feature_model(train)
-        rf = MD.train_model(train, feats, MD.forest(feats, num_trees=num_trees))
-        dt = MD.train_model(train, feats, MD.tree(feats))
+        rf, dt = MD.train_models(train, feats, [MD.forest(feats, num_trees=num_trees),
+                                                MD.tree(feats)])
     finally:
         train.unpersist()
     fitted = Fitted(train, test, feats, rf, dt)
