@@ -416,9 +416,10 @@ def q_label_index(spark, sf_dir):
 
 # ---------------------------------------------------------------- features and models
 
-def _index_join_sql() -> str:
+def _index_join_sql(columns: str | None = None, tail: str = "") -> str:
     """Test rows with every category replaced by its train-fitted index
-    (unseen -> number of labels), plus the label index: the assembled features."""
+    (unseen -> number of labels), plus the label index: the assembled features.
+    ``columns`` overrides the output list; ``tail`` appends ORDER BY / LIMIT."""
     joins, feats = [], []
     for i, c in enumerate(K.CATEGORY_COLUMNS + [K.TARGET]):
         joins.append(f"LEFT JOIN (SELECT value, idx FROM ix WHERE column_name = '{c}') j{i} "
@@ -426,8 +427,9 @@ def _index_join_sql() -> str:
         out = "label" if c == K.TARGET else f"{c}_index"
         feats.append(f"coalesce(j{i}.idx, CAST((SELECT count(*) FROM ix WHERE column_name = '{c}') "
                      f"AS DOUBLE)) AS {out}")
-    body = (f"SELECT t.summons_number, t.month, t.day, t.time_hour, {', '.join(feats)} "
-            f"FROM (SELECT * FROM cleaned_keyed WHERE {SPLIT_SQL} < 1) t " + " ".join(joins))
+    inner = (f"SELECT t.summons_number, t.month, t.day, t.time_hour, {', '.join(feats)} "
+             f"FROM (SELECT * FROM cleaned_keyed WHERE {SPLIT_SQL} < 1) t " + " ".join(joins))
+    body = f"SELECT {columns or '*'} FROM ({inner}) {tail}"
     return with_stages("cleaned_keyed", f", ix AS ({_index_body()})\n{body}")
 
 
@@ -481,11 +483,14 @@ def _predictions(model, test):
                                      "predicted_label")
 
 
-@register("fit_features")
+INDEX_COLUMNS = [f"{c}_index" for c in K.CATEGORY_COLUMNS]
+
+
+@register("fit_features", _index_join_sql("summons_number, " + ", ".join(INDEX_COLUMNS) + ", label"))
 def q_fit_features(spark, sf_dir):
-    """Fitted feature stages applied to test rows (indexed columns and vector)."""
+    """Fitted feature stages applied to test rows: the 14 category indices and the label."""
     f = _fitted(spark, sf_dir)
-    return f.features.transform(f.test)
+    return f.features.transform(f.test).select("summons_number", *INDEX_COLUMNS, "label")
 
 
 @register("train_forest")
@@ -541,7 +546,9 @@ def q_topk_probability(spark, sf_dir):
                  tie_break=["summons_number", "label", "prediction"])
 
 
-@register("sample_export")
+@register("sample_export", _index_join_sql(
+    "summons_number, " + ", ".join(K.FEATURES),
+    "ORDER BY " + ", ".join(["summons_number"] + K.FEATURES) + f" LIMIT {K.SAMPLE_EXPORT_ROWS}"))
 def q_sample_export(spark, sf_dir):
     """10,000 test rows with features as doubles, original text columns dropped,
     written as CSV and read back (the message source for the stream job)."""
