@@ -14,35 +14,39 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeflow import constants as K
+from citeflow.operators.sampling import with_row_index
+from citeflow.session import ensure_checkpoint_dir
 
 
 def frequency_index(df: DataFrame, cols: Sequence[str], name_col: str = "column_name",
                     value_col: str = "value") -> DataFrame:
     """(column, value, n, idx) for every non-null value of every column.
 
-    All columns are unpivoted in one projection and counted in one aggregation
-    (partial counts are combined map-side, so the shuffle carries at most one row
-    per distinct value and task). The rank is ``offset + rank-within-ties``:
-    ``offset`` is the number of values with a strictly larger count, taken from
-    the count-of-counts table (one row per distinct count per column, at most
-    sqrt(2 * rows) rows), so no window ever sees all values of a column in one
-    task unless they all share one count.
+    All columns are unpivoted with one ``stack`` and counted in one aggregation
+    (partial counts are combined map-side, so the shuffle carries at most one
+    row per distinct value and task). The index is the position in the order
+    (count descending, value ascending) within the column: a range-partitioned
+    sort of the distinct (column, value) pairs, which are all distinct keys, so
+    even a column whose values mostly tie (a long tail of count 1) is split
+    evenly over tasks instead of landing in one window partition. The sorted
+    counts are checkpointed (reliably, in the shared folder) so that partition
+    ids are stable for the dense row index; only one start position per column
+    is broadcast.
     """
     cells = ", ".join(f"'{c}', cast(`{c}` as string)" for c in cols)
     pairs = (df.selectExpr(f"stack({len(cols)}, {cells}) as ({name_col}, {value_col})")
              .where(F.col(value_col).isNotNull()))
     counts = pairs.groupBy(name_col, value_col).agg(F.count(F.lit(1)).alias("n"))
-    levels = counts.groupBy(name_col, "n").agg(F.count(F.lit(1)).alias("k"))
-    above = Window.partitionBy(name_col).orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
-    levels = levels.select(name_col, "n", F.coalesce(F.sum("k").over(above), F.lit(0)).alias("offset"))
-    ties = Window.partitionBy(name_col, "n").orderBy(value_col)
-    return (counts.join(levels, [name_col, "n"])
-            .select(name_col, value_col, "n",
-                    (F.col("offset") + F.row_number().over(ties) - 1).cast("double").alias("idx")))
+    ensure_checkpoint_dir(df.sparkSession)
+    ordered = counts.orderBy(name_col, F.desc("n"), value_col).checkpoint(eager=True)
+    indexed = with_row_index(ordered, "pos")
+    starts = indexed.groupBy(name_col).agg(F.min("pos").alias("start"))
+    return (indexed.join(F.broadcast(starts), name_col)
+            .select(name_col, value_col, "n", (F.col("pos") - F.col("start")).cast("double").alias("idx")))
 
 
 def index_name(c: str) -> str:

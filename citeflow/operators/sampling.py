@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -47,3 +47,19 @@ def random_split(df: DataFrame, train_fraction: float = 0.8, seed: int = 42):
     """Seeded random split (the original used an unseeded 80/20 split)."""
     train, test = df.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
     return train, test
+
+
+def with_row_index(df: DataFrame, name: str = "row_idx") -> DataFrame:
+    """Dense 0..N-1 index in partition order without collecting: partition
+    offsets come from a table with one row per partition (bounded by the
+    partition count, so its broadcast and its ordered window are tiny).
+    Deterministic when the input's partitioning is (file-backed or checkpointed
+    input); on a sorted, checkpointed input it is the global sort position."""
+    tagged = df.withColumn("_mid", F.monotonically_increasing_id())
+    tagged = tagged.withColumns({"_pid": F.shiftright("_mid", 33),
+                                 "_pos": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))})
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
+    return (tagged.join(F.broadcast(offsets), "_pid")
+            .withColumn(name, F.col("_off") + F.col("_pos"))
+            .drop("_mid", "_pid", "_pos", "_off"))

@@ -21,28 +21,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeflow import constants as K
+from citeflow.operators.sampling import with_row_index
 
 # rows above which the draw table is shuffled instead of broadcast (16 bytes/row)
 BROADCAST_DRAWS = 2_000_000
 
 
-def with_row_index(df: DataFrame, name: str = "row_idx") -> DataFrame:
-    """Dense 0..N-1 index without collecting: partition offsets come from a
-    table with one row per partition. Deterministic for a file-backed input."""
-    tagged = df.withColumn("_mid", F.monotonically_increasing_id())
-    tagged = tagged.withColumns({"_pid": F.shiftright("_mid", 33),
-                                 "_pos": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))})
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
-    return (tagged.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, F.col("_off") + F.col("_pos"))
-            .drop("_mid", "_pid", "_pos", "_off"))
-
-
 def draw_batch(indexed: DataFrame, n_source, cols: Sequence[str], n: int, seed: int,
                idx_col: str = "row_idx") -> DataFrame:
     """n seeded uniform draws of source rows, projected on ``cols``: (draw_id, cols...)."""
