@@ -40,6 +40,13 @@ MISSING_OVER_75 = [
 # Columns consumed by feature derivation and no longer needed.
 CONSUMED_COLUMNS = ["Year", "Violation_Time", "Issue Date", "Issuer Squad"]
 
+# Raw columns read as numbers (all others are text).
+RAW_INTEGER_COLUMNS = [
+    "Violation Code", "Street Code1", "Street Code2", "Street Code3",
+    "Violation Location", "Violation Precinct", "Issuer Precinct",
+]
+RAW_LONG_COLUMNS = ["Summons Number"]
+
 # Issue date format (month/day/year) and its split separator.
 ISSUE_DATE_FORMAT = "M/d/yyyy"
 ISSUE_DATE_SEPARATOR = "/"

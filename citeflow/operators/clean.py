@@ -22,6 +22,13 @@ from citeflow.operators.columns import blank_to_null_all, drop_columns, standard
 from citeflow.operators.filters import drop_sentinels, dropna_any, dropna_subset, year_range
 
 
+_INT_COLUMNS = set(K.std(K.RAW_INTEGER_COLUMNS))
+# Schema of the cleaned table (for reading it back from text formats).
+CLEANED_SCHEMA = ", ".join(
+    f"{c} {'double' if c in K.NUMERIC else 'int' if c in _INT_COLUMNS else 'string'}"
+    for c in K.CLEANED_COLUMNS)
+
+
 @dataclass(frozen=True)
 class CleanOptions:
     """Defaults reproduce the batch cleaning job.

@@ -50,6 +50,20 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return reader.csv(resolve_path(path))
 
 
+def read_raw_export(spark: SparkSession, path: str) -> DataFrame:
+    """Raw citation export: header CSV read as text (no inference pass, which
+    would cost a full extra scan and can mistype codes such as ``T5`` as
+    timestamps), names standardized, known numeric code columns ``try_cast``."""
+    from pyspark.sql import functions as F
+
+    from citeflow import constants as K
+    from citeflow.operators.columns import standardize_names
+    df = standardize_names(read_csv(spark, path))
+    casts = {c: "int" for c in K.std(K.RAW_INTEGER_COLUMNS)}
+    casts.update({c: "bigint" for c in K.std(K.RAW_LONG_COLUMNS)})
+    return df.withColumns({c: F.col(c).try_cast(t) for c, t in casts.items() if c in df.columns})
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False,
               header: bool = True) -> str:
     """CSV sink with a header. Parallel by default (one file per task). With

@@ -9,7 +9,7 @@ from citeflow.operators.clean import CleanOptions, clean_citations, cleaning_sta
 from citeflow.operators.columns import blank_to_null_all, standardize_names
 from citeflow.operators.profile import value_share
 from citeflow.sources.fixture import citations
-from citeflow.sources.tables import read_csv
+from citeflow.sources.tables import read_raw_export
 
 RAW_HEADER = ["Summons Number", "Registration State", "Plate Type", "Issue Date", "Violation Code",
               "Vehicle Body Type", "Vehicle Make", "Issuing Agency", "Street Code1", "Street Code2",
@@ -56,7 +56,7 @@ def raw_csv(spark, tmp_path):
         fh.write(",".join(RAW_HEADER) + "\n")
         for r in rows:
             fh.write(",".join(r) + "\n")
-    return read_csv(spark, str(path), infer_schema=True)
+    return read_raw_export(spark, str(path))
 
 
 def test_raw_export_cleans_to_18_columns(raw_csv):
@@ -127,7 +127,10 @@ def test_value_shares_sum_to_100(spark, sf_small):
 
 
 def test_clean_plan_has_no_shuffle_or_python(spark, sf_small):
-    plan = clean_citations(citations(spark, sf_small))._jdf.queryExecution().executedPlan().toString()
+    from citeflow.sources.fixture import citations_from_lineitem
+    from citeflow.sources.tables import read_table
+    raw = citations_from_lineitem(read_table(spark, sf_small, "lineitem", spread_splits=False))
+    plan = clean_citations(raw)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
