@@ -26,10 +26,12 @@ def spread(df: DataFrame) -> DataFrame:
     parallelism is a round-robin shuffle added; a large input (thousands of
     splits) is left untouched, so no full shuffle is ever added at scale.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()   # plans the scan only; no job runs
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_splits: bool = True) -> DataFrame:
