@@ -66,7 +66,7 @@ def train_test(spark: SparkSession, sf_dir: str):
 
 
 def fit_all(spark: SparkSession, sf_dir: str, num_trees: int = K.FOREST_TREES) -> Fitted:
-    key = (spark.sparkContext.applicationId, sf_dir, num_trees)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, num_trees)
     if key in _CACHE:
         return _CACHE[key]
     train, test = train_test(spark, sf_dir)
