@@ -15,39 +15,68 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
-from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.feature import SQLTransformer, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeflow import constants as K
-from citeflow.operators.features import (category_indexer, category_sizes, feature_assembler,
-                                         index_name, label_indexer, label_names)
+from citeflow.operators.features import (category_sizes, feature_assembler, frequency_index,
+                                         index_name, label_names)
+from citeflow.session import scratch_path
 
 DEFAULT_MAX_CATEGORICAL = K.MAX_BINS
 
 
 def fit_feature_model(train: DataFrame, cols: Sequence[str] = K.CATEGORY_COLUMNS,
                       target: str = K.TARGET,
-                      max_categorical: int = DEFAULT_MAX_CATEGORICAL) -> PipelineModel:
-    """Fit indexers on training rows; assemble the 17 features in fixed order.
-
-    Columns whose category count exceeds ``max_categorical`` are passed to the
-    assembler through a numeric copy without nominal metadata.
+                      max_categorical: int = DEFAULT_MAX_CATEGORICAL,
+                      index_path: str | None = None) -> PipelineModel:
+    """Fit the category indices on training rows; assemble the 17 features.
+
+    One distributed frequency-index job covers every column; the table is
+    written to the shared folder. Columns with at most ``max_categorical``
+    values become a ``StringIndexerModel`` built from their labels (nominal
+    metadata, so trees split them as categories; identical to fitting a
+    ``StringIndexer``, without a second pass). Wider columns are indexed by a
+    join against the stored table inside a ``SQLTransformer`` (a standard,
+    saveable stage): their labels never pass through the driver, and the tree
+    sees their frequency rank as an ordered feature. Unseen or null values get
+    the extra last index in both cases.
     """
-    indexers = Pipeline(stages=[category_indexer(cols), label_indexer(target)]).fit(train)
-    sizes = category_sizes(indexers)
-    wide = [c for c in cols if sizes.get(index_name(c), 0) > max_categorical]
-    stages = list(indexers.stages)
-    features = list(K.FEATURES)
+    spark = train.sparkSession
+    path = index_path or scratch_path(spark, "category-index")
+    frequency_index(train, list(cols) + [target]).write.mode("overwrite").parquet(path)
+    table = spark.read.parquet(path)
+    sizes = {r["column_name"]: r["count"] for r in table.groupBy("column_name").count().collect()}
+    narrow = [c for c in cols if sizes.get(c, 0) <= max_categorical]
+    wide = [c for c in cols if c not in narrow]
+    if sizes.get(target, 0) > max_categorical:
+        raise ValueError(f"target {target} has {sizes[target]} classes")
+    # labels of the narrow columns and the target: at most max_categorical per column
+    labels: dict[str, list] = {c: [] for c in narrow + [target]}
+    for r in (table.where(F.col("column_name").isin(narrow + [target]))
+              .orderBy("column_name", "idx").collect()):
+        labels[r["column_name"]].append(r["value"])
+    stages = []
+    if narrow:
+        stages.append(StringIndexerModel.from_arrays_of_labels(
+            [labels[c] for c in narrow], inputCols=narrow, outputCols=[index_name(c) for c in narrow],
+            handleInvalid="keep"))
+    stages.append(StringIndexerModel.from_labels(labels[target], inputCol=target, outputCol="label",
+                                                 handleInvalid="keep"))
     if wide:
-        exprs = ", ".join(f"{index_name(c)} * 1.0 AS {index_name(c)}_ordered" for c in wide)
-        stages.append(SQLTransformer(statement=f"SELECT *, {exprs} FROM __THIS__"))
-        features = [f"{f}_ordered" if f in {index_name(c) for c in wide} else f for f in features]
-    assembler = feature_assembler(features)
-    return PipelineModel(stages=stages + [assembler])
+        src = path.replace("`", "``")
+        outs, joins = [], []
+        for i, c in enumerate(wide):
+            joins.append(f"LEFT JOIN (SELECT value, idx FROM parquet.`{src}` WHERE column_name = '{c}') "
+                         f"w{i} ON CAST(t.`{c}` AS STRING) = w{i}.value")
+            outs.append(f"coalesce(w{i}.idx, CAST({sizes[c]} AS DOUBLE)) AS {index_name(c)}")
+        stages.append(SQLTransformer(
+            statement=f"SELECT t.*, {', '.join(outs)} FROM __THIS__ t {' '.join(joins)}"))
+    return PipelineModel(stages=stages + [feature_assembler(K.FEATURES)])
 
 
 def max_bins(feature_model: PipelineModel, max_categorical: int = DEFAULT_MAX_CATEGORICAL,

@@ -55,3 +55,19 @@ def test_decode_labels_exact(spark, sf_small):
     got = [r[0] for r in df.select(decode_label("p", labels)).collect()]
     assert got[: len(labels)] == labels
     assert got[len(labels)] == f"{float(len(labels))}"
+
+
+def test_wide_columns_indexed_by_join_match_string_indexer(spark, sf_small):
+    from pyspark.ml.feature import StringIndexer
+    from citeflow.operators.models import fit_feature_model
+    f = fit_all(spark, sf_small, num_trees=5)
+    wide_model = fit_feature_model(f.train, max_categorical=20)
+    stages = [type(s).__name__ for s in wide_model.stages]
+    assert "SQLTransformer" in stages
+    ref = StringIndexer(inputCols=K.CATEGORY_COLUMNS,
+                        outputCols=[f"{c}_index" for c in K.CATEGORY_COLUMNS],
+                        handleInvalid="keep").fit(f.train)
+    cols = ["summons_number"] + [f"{c}_index" for c in K.CATEGORY_COLUMNS]
+    a = sorted(wide_model.transform(f.test).select(*cols).collect())
+    b = sorted(ref.transform(f.test).select(*cols).collect())
+    assert a == b
