@@ -79,14 +79,22 @@ def fit_feature_stages(train: DataFrame, cols: Sequence[str] = K.CATEGORY_COLUMN
                             feature_assembler()]).fit(train)
 
 
-def category_sizes(model: PipelineModel) -> dict[str, int]:
-    """Number of categories (labels + keep bucket) per indexed column."""
-    sizes: dict[str, int] = {}
+def fitted_labels(model: PipelineModel) -> dict[str, list[str]]:
+    """Labels per indexed output column, from single- or multi-column indexers."""
+    out: dict[str, list[str]] = {}
     for stage in model.stages:
-        if isinstance(stage, StringIndexerModel) and stage.isSet("outputCols"):
-            for out, labels in zip(stage.getOutputCols(), stage.labelsArray):
-                sizes[out] = len(labels) + 1
-    return sizes
+        if not isinstance(stage, StringIndexerModel):
+            continue
+        if stage.isSet("outputCols"):
+            out.update(zip(stage.getOutputCols(), (list(x) for x in stage.labelsArray)))
+        else:
+            out[stage.getOutputCol()] = list(stage.labels)
+    return out
+
+
+def category_sizes(model: PipelineModel, label_col: str = "label") -> dict[str, int]:
+    """Number of categories (labels + keep bucket) per indexed feature column."""
+    return {c: len(v) + 1 for c, v in fitted_labels(model).items() if c != label_col}
 
 
 def max_bins_for(model: PipelineModel, floor: int = 32) -> int:

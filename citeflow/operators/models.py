@@ -60,11 +60,11 @@ def fit_feature_model(train: DataFrame, cols: Sequence[str] = K.CATEGORY_COLUMNS
     for r in (table.where(F.col("column_name").isin(narrow + [target]))
               .orderBy("column_name", "idx").collect()):
         labels[r["column_name"]].append(r["value"])
-    stages = []
-    if narrow:
-        stages.append(StringIndexerModel.from_arrays_of_labels(
-            [labels[c] for c in narrow], inputCols=narrow, outputCols=[index_name(c) for c in narrow],
-            handleInvalid="keep"))
+    # One model per column: ``from_arrays_of_labels`` passes a rectangular Java
+    # array, padding shorter label lists with nulls (wrong keep index, and a
+    # null in the nominal metadata).
+    stages = [StringIndexerModel.from_labels(labels[c], inputCol=c, outputCol=index_name(c),
+                                             handleInvalid="keep") for c in narrow]
     stages.append(StringIndexerModel.from_labels(labels[target], inputCol=target, outputCol="label",
                                                  handleInvalid="keep"))
     if wide:

@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -12,7 +13,10 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from citeflow.session import get_session
-    s = get_session(app="citeflow-tests", master="local[4]", shuffle_partitions=8)
+    # a fresh scratch folder per run (on a cluster spark.checkpoint.dir is given)
+    ckpt = tempfile.mkdtemp(prefix="citeflow-tests-")
+    s = get_session(app="citeflow-tests", master="local[4]", shuffle_partitions=8,
+                    **{"spark.checkpoint.dir": ckpt})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

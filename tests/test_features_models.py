@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from citeflow import constants as K
 from citeflow.functions.text import decode_label
-from citeflow.operators.features import frequency_index, label_names
+from citeflow.operators.features import fitted_labels, frequency_index, label_names
 from citeflow.operators.models import classification_metrics, score
 from citeflow.plans.batch_job import fit_all
 from citeflow.session import scratch_path
@@ -18,16 +18,18 @@ def test_frequency_index_equals_string_indexer(spark, sf_small):
     table = {}
     for r in ours:
         table.setdefault(r["column_name"], {})[int(r["idx"])] = r["value"]
-    indexer = f.features.stages[0]
-    for col, labels in zip(indexer.getInputCols(), indexer.labelsArray):
-        assert [table[col][i] for i in range(len(labels))] == list(labels), col
+    fitted = fitted_labels(f.features)
+    for col in K.CATEGORY_COLUMNS:
+        labels = fitted[f"{col}_index"]
+        assert None not in labels, col
+        assert [table[col][i] for i in range(len(table[col]))] == labels, col
 
 
 def test_unseen_value_goes_to_keep_bucket(spark, sf_small):
     f = fit_all(spark, sf_small, num_trees=5)
     row = f.test.limit(1).withColumn("vehicle_make", F.lit("NEVER_SEEN"))
     out = f.features.transform(row)
-    n_labels = len(f.features.stages[0].labelsArray[K.CATEGORY_COLUMNS.index("vehicle_make")])
+    n_labels = len(fitted_labels(f.features)["vehicle_make_index"])
     assert out.first()["vehicle_make_index"] == float(n_labels)
 
 
