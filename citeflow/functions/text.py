@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -21,11 +22,17 @@ def canonicalize(c, rules: Sequence[tuple[str, str]] = COUNTY_RULES,
     Default: unanchored substring replacement, one rule after the other, exactly
     as the original chain (so ``QUEENS`` becomes ``QS``). ``anchored=True``
     rewrites whole values only (``QUEENS`` is left alone).
+
+    A pattern without regex metacharacters (and a replacement without group
+    references) is a literal rewrite, done with ``replace``: same result, no
+    regex engine per row. Other rules go through ``regexp_replace``.
     """
     out = _col(c)
     for pattern, replacement in rules:
         if anchored:
             out = F.when(out == F.lit(pattern), F.lit(replacement)).otherwise(out)
+        elif re.escape(pattern) == pattern and not set("$\\") & set(replacement):
+            out = F.replace(out, F.lit(pattern), F.lit(replacement))
         else:
             out = F.regexp_replace(out, F.lit(pattern), F.lit(replacement))
     return out

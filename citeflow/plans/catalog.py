@@ -40,8 +40,27 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+_STAGES: dict[tuple, dict] = {}
+_FIXTURES: dict[tuple, DataFrame] = {}
+
+
+def fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``citations`` fixture over the whole ``lineitem`` table, one plan per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FIXTURES:
+        _FIXTURES[key] = citations(spark, sf_dir)
+    return _FIXTURES[key]
+
+
 def stages(spark: SparkSession, sf_dir: str, keep=()):
-    return cleaning_stages(citations(spark, sf_dir), CleanOptions(keep=tuple(keep)))
+    """The cleaning stages over the fixture, built once per session and input:
+    DataFrames are immutable plans, so reports share them (as a user keeps the
+    cleaned frame for several reports) instead of re-analysing a dozen
+    intermediate plans per report. Every report still runs over the whole table."""
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(keep))
+    if key not in _STAGES:
+        _STAGES[key] = cleaning_stages(fixture(spark, sf_dir), CleanOptions(keep=tuple(keep)))
+    return _STAGES[key]
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +101,7 @@ def q_csv_scan(spark, sf_dir):
 
     CSV cannot tell a blank field from a missing one: Spark reads both as null,
     as when the original job scanned its raw export."""
-    src = citations(spark, sf_dir)
+    src = fixture(spark, sf_dir)
     path = write_csv(src, scratch_path(spark, "csv_scan"))
     return read_csv(spark, path, schema=src.schema)
 
@@ -114,7 +133,7 @@ RENAMES = {"violation_time": "Violation_Time", "registration_state": "Registrati
 def q_rename_columns(spark, sf_dir):
     mapping = dict(K.RAW_NAME_FIXES)  # absent here: ignored
     mapping.update(RENAMES)
-    return C.rename_columns(citations(spark, sf_dir), mapping)
+    return C.rename_columns(fixture(spark, sf_dir), mapping)
 
 
 def _title(c: str, sep: str) -> str:
@@ -125,7 +144,7 @@ def _title(c: str, sep: str) -> str:
     f'{c} AS "{_title(c, "_")}"' for c in CITATION_COLUMNS) + " FROM citations"))
 def q_normalize_names(spark, sf_dir):
     """Export-style names with spaces ('Street Code1') -> underscores."""
-    return C.normalize_names(C.to_title_names(citations(spark, sf_dir), sep=" "))
+    return C.normalize_names(C.to_title_names(fixture(spark, sf_dir), sep=" "))
 
 
 KEPT_AFTER_DROP = [c for c in CITATION_COLUMNS if c not in K.DROP_COLUMNS]
@@ -133,7 +152,7 @@ KEPT_AFTER_DROP = [c for c in CITATION_COLUMNS if c not in K.DROP_COLUMNS]
 
 @register("drop_columns", with_stages("citations", f"SELECT {_cols(KEPT_AFTER_DROP)} FROM citations"))
 def q_drop_columns(spark, sf_dir):
-    return C.drop_columns(citations(spark, sf_dir), K.DROP_COLUMNS)
+    return C.drop_columns(fixture(spark, sf_dir), K.DROP_COLUMNS)
 
 
 @register("struct_flatten", """
@@ -157,14 +176,14 @@ def q_json_parse(spark, sf_dir):
 @register("bulk_cast", with_stages("citations", "SELECT " + ", ".join(
     f"try_cast({c} AS DOUBLE) AS {c}" for c in CITATION_COLUMNS) + " FROM citations"))
 def q_bulk_cast(spark, sf_dir):
-    return C.cast_all(citations(spark, sf_dir), "double")
+    return C.cast_all(fixture(spark, sf_dir), "double")
 
 
 @register("blank_to_null", with_stages("citations", "SELECT " + ", ".join(
     (f"nullif({c}, '') AS {c}" if c in STRING_COLS else c) for c in CITATION_COLUMNS)
     + " FROM citations"))
 def q_blank_to_null(spark, sf_dir):
-    return C.blank_to_null_all(citations(spark, sf_dir))
+    return C.blank_to_null_all(fixture(spark, sf_dir))
 
 
 @register("clamp_hour", with_stages("citations", """
@@ -175,7 +194,7 @@ def q_blank_to_null(spark, sf_dir):
                 ELSE try_cast(substring(violation_time, 1, 2) AS DOUBLE) END AS time_hour
     FROM citations"""))
 def q_clamp_hour(spark, sf_dir):
-    src = citations(spark, sf_dir)
+    src = fixture(spark, sf_dir)
     return src.select("summons_number", "violation_time", hour_of("violation_time").alias("hour_raw"),
                       clamp_hour(hour_of("violation_time")).alias("time_hour"))
 
@@ -191,14 +210,14 @@ def q_time_features(spark, sf_dir):
 
 @register("date_parts", with_stages("featured", "SELECT summons_number, issue_date, month, year FROM featured"))
 def q_date_parts(spark, sf_dir):
-    src = citations(spark, sf_dir)
+    src = fixture(spark, sf_dir)
     return src.select("summons_number", "issue_date", month_of("issue_date").alias("month"),
                       year_of("issue_date").alias("year"))
 
 
 @register("weekday_feature", with_stages("featured", "SELECT summons_number, issue_date, day FROM featured"))
 def q_weekday_feature(spark, sf_dir):
-    src = citations(spark, sf_dir)
+    src = fixture(spark, sf_dir)
     return src.select("summons_number", "issue_date",
                       weekday_of("issue_date").cast("double").alias("day"))
 
@@ -210,7 +229,7 @@ def q_weekday_feature(spark, sf_dir):
            try_cast(violation_time AS DOUBLE) AS time_number
     FROM citations"""))
 def q_safe_cast(spark, sf_dir):
-    src = citations(spark, sf_dir)
+    src = fixture(spark, sf_dir)
     return src.select("summons_number",
                       F.col("registration_state").try_cast("int").alias("state_code"),
                       F.col("plate_type").try_cast("int").alias("plate_code"),
@@ -228,19 +247,19 @@ def q_year_range_filter(spark, sf_dir):
     SELECT * FROM citations
     WHERE registration_state <> '99' AND plate_type <> '999' AND violation_county <> '103'"""))
 def q_sentinel_filter(spark, sf_dir):
-    return drop_sentinels(citations(spark, sf_dir), K.SENTINEL_VALUES)
+    return drop_sentinels(fixture(spark, sf_dir), K.SENTINEL_VALUES)
 
 
 @register("dropna_subset", with_stages("citations", "SELECT * FROM citations WHERE violation_county IS NOT NULL"))
 def q_dropna_subset(spark, sf_dir):
-    return dropna_subset(citations(spark, sf_dir), [K.TARGET])
+    return dropna_subset(fixture(spark, sf_dir), [K.TARGET])
 
 
 @register("dropna_any", with_stages("citations", "SELECT * FROM (SELECT " + ", ".join(
     (f"nullif({c}, '') AS {c}" if c in STRING_COLS else c) for c in CITATION_COLUMNS)
     + " FROM citations) WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in CITATION_COLUMNS)))
 def q_dropna_any(spark, sf_dir):
-    return dropna_any(C.blank_to_null_all(citations(spark, sf_dir)))
+    return dropna_any(C.blank_to_null_all(fixture(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- scalar functions
@@ -252,7 +271,7 @@ def q_dropna_any(spark, sf_dir):
         'RC', 'R', 'g'), 'RICH', 'R', 'g'), 'NYC', 'NY', 'g') AS violation_county
     FROM citations"""))
 def q_canonicalize_values(spark, sf_dir):
-    src = citations(spark, sf_dir)
+    src = fixture(spark, sf_dir)
     return src.select("summons_number", F.col(K.TARGET).alias("county_raw"),
                       canonicalize(K.TARGET).alias(K.TARGET))
 
@@ -315,7 +334,7 @@ def _audit_sql(c: str) -> str:
     _audit_sql(c) for c in CITATION_COLUMNS) + " FROM citations"))
 def q_missing_audit(spark, sf_dir):
     """Audit of the raw export (the cleaned table audits to all zeros; see tests)."""
-    return P.missing_audit(citations(spark, sf_dir))
+    return P.missing_audit(fixture(spark, sf_dir))
 
 
 @register("column_corr", with_stages("blanks_nulled", """
@@ -355,7 +374,7 @@ def _fraction_sql(c: str) -> str:
 @register("missing_fraction", with_stages("citations", "\nUNION ALL\n".join(
     _fraction_sql(c) for c in CITATION_COLUMNS)))
 def q_missing_fraction(spark, sf_dir):
-    return P.missing_fraction(citations(spark, sf_dir))
+    return P.missing_fraction(fixture(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- sort / limit / split

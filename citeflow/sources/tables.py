@@ -17,21 +17,42 @@ def resolve_path(path: str) -> str:
     return path
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute an under-split input across the cluster's cores.
+_SPREAD: dict[tuple, str] = {}
+
 
-    A scan yields one task per file split (one per Parquet row group); a small
-    input stored as a single row group would run every downstream narrow
-    operator in one task. Only when the scan has fewer splits than the default
-    parallelism is a round-robin shuffle added; a large input (thousands of
-    splits) is left untouched, so no full shuffle is ever added at scale.
+def spread(df: DataFrame) -> DataFrame:
+    """Give an under-split Parquet input as many splits as the cluster has cores.
+
+    A scan yields one task per file split, and a Parquet split only holds work if
+    a row group starts in it: a small table stored as one row group is scanned,
+    and every narrow operator after it (the whole clean) runs, in one task. A
+    round-robin ``repartition`` does not help, because Catalyst pushes the
+    filters (and the expressions they reference) through it into the scan task.
+    So an under-split input is written once per session, as ``cores`` files, to
+    the shared checkpoint folder and read from there: later scans are parallel
+    and keep column pruning and filter pushdown.
+
+    Scale bound: a splittable input has fewer splits than cores only while it is
+    smaller than cores x ``spark.sql.files.openCostInBytes`` (4 MB by default),
+    so the copy is at most a few MB per core. A large input (thousands of
+    splits) is returned untouched; no copy or shuffle is added at scale.
     """
+    spark = df.sparkSession
     try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
+        cores = spark.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()   # plans the scan only; no job runs
+        files = tuple(sorted(df.inputFiles()))
     except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
         return df
-    return df.repartition(cores) if splits < cores else df
+    if splits >= cores or not files:
+        return df
+    key = (spark.sparkContext.applicationId, files, tuple(df.columns))
+    if key not in _SPREAD:
+        from citeflow.session import scratch_path
+        path = scratch_path(spark, "spread")
+        df.repartition(cores).write.mode("overwrite").parquet(path)
+        _SPREAD[key] = path
+    return spark.read.parquet(_SPREAD[key])
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_splits: bool = True) -> DataFrame:
