@@ -1,32 +1,68 @@
 """Limits, top-k, splits.
 
 ``limit_stable`` and ``top_k`` order by an explicit key first, so the rows they
-return do not depend on partitioning; Spark runs ``orderBy(...).limit(k)`` as a
-distributed ``TakeOrderedAndProject`` (each task keeps its own top k, the driver
-merges at most k rows per task), never a full sort to one task.
+return do not depend on partitioning. Spark runs ``orderBy(...).limit(k)`` as
+``TakeOrderedAndProject``: each task keeps its own top k and one final task
+merges them, i.e. tasks x k rows. That is small for a small k or a small input;
+for a large input and a large k (a 10,000-row export over tens of thousands of
+tasks) the final task would receive hundreds of millions of rows. Above
+``TREE_TOPK_CANDIDATES`` the merge therefore goes through one intermediate
+level: rows are salted by the task that produced them, a ``row_number() <= k``
+window per salt lets Spark apply its map-side partial group limit (at most k
+rows leave each task), about sqrt(tasks) salts merge those, and only
+salts x k rows reach the final ``TakeOrderedAndProject``. The result is exact:
+every row of the global top k is in the top k of its task and of its salt.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def limit_stable(df: DataFrame, n: int, order_by: Sequence[str] | None = None) -> DataFrame:
+# tasks x k above which the top-k merge goes through an intermediate level
+TREE_TOPK_CANDIDATES = 1_000_000
+
+
+def ordered_limit(df: DataFrame, k: int, order: Sequence[Column | str],
+                  tree_above: int = TREE_TOPK_CANDIDATES) -> DataFrame:
+    """``df.orderBy(*order).limit(k)`` whose final merge stays bounded at any scale."""
+    try:
+        tasks = df.rdd.getNumPartitions()    # plans only; no job runs
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect)
+        tasks = 1
+    spark = df.sparkSession
+    group_limit = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if tasks * k <= tree_above or tasks < 4 or not 0 < k <= group_limit:
+        return df.orderBy(*order).limit(k)
+    salts = max(2, math.isqrt(tasks))
+    cols = df.columns
+    w = Window.partitionBy("_salt").orderBy(*order)
+    level = (df.withColumn("_salt", F.spark_partition_id() % F.lit(salts))
+             .withColumn("_rank", F.row_number().over(w))
+             .where(F.col("_rank") <= F.lit(k))
+             .select(*cols))
+    return level.orderBy(*order).limit(k)
+
+
+def limit_stable(df: DataFrame, n: int, order_by: Sequence[str] | None = None,
+                 tree_above: int = TREE_TOPK_CANDIDATES) -> DataFrame:
     """First ``n`` rows by ``order_by`` (all columns by default: duplicates are
     indistinguishable, so the result is deterministic)."""
     keys = list(order_by) if order_by else df.columns
-    return df.orderBy(*keys).limit(n)
+    return ordered_limit(df, n, keys, tree_above)
 
 
 def top_k(df: DataFrame, k: int, by: str, descending: bool = True,
-          tie_break: Sequence[str] | None = None) -> DataFrame:
+          tie_break: Sequence[str] | None = None,
+          tree_above: int = TREE_TOPK_CANDIDATES) -> DataFrame:
     """Distributed top-k by one column, ties broken by the other columns."""
     rest = list(tie_break) if tie_break is not None else [c for c in df.columns if c != by]
     first = F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_last()
-    return df.orderBy(first, *rest).limit(k)
+    return ordered_limit(df, k, [first, *rest], tree_above)
 
 
 def key_split(df: DataFrame, key: Column | str, buckets: int = 5, test_buckets: int = 1,

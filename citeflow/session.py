@@ -26,6 +26,10 @@ DEFAULT_CONF = {
     # whole-stage-codegen method above that runs interpreted. With this limit
     # Spark falls back to per-operator code for such (rare, very wide) subtrees.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Spark applies its map-side partial limit to ``row_number() <= k`` windows
+    # only up to this k; the bounded top-k merge (operators/sampling) relies on it
+    # for exports of up to 100,000 rows.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }
 
 

@@ -49,3 +49,17 @@ def test_value_share_uses_no_cross_join(spark, sf_small):
         .executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert F  # keep import used
+
+
+def test_bounded_topk_merge_equals_plain_limit(spark, sf_small):
+    from citeflow.operators.sampling import limit_stable, top_k
+    df = spark.read.parquet(f"{sf_small}/orders.parquet").repartition(9)
+    for k in (1, 7, 150):
+        plain = df.orderBy(*df.columns).limit(k).collect()
+        tree = limit_stable(df, k, tree_above=0)
+        plan = tree._jdf.queryExecution().executedPlan().toString()
+        assert "WindowGroupLimit" in plan
+        assert tree.collect() == plain
+    by_price = top_k(df, 25, "o_totalprice", tree_above=0).collect()
+    assert by_price == df.orderBy(df.o_totalprice.desc(), *[c for c in df.columns if c != "o_totalprice"]) \
+        .limit(25).collect()
