@@ -594,15 +594,25 @@ def index_messages(spark, sf_dir):
     return rows.select(*[F.col(c) for c in K.FEATURES])
 
 
+STREAM_BATCHES = 2
+
+
 @register("stream_score")
 def q_stream_score(spark, sf_dir):
     """File-stream source -> parse -> cast -> assemble -> forest -> label text ->
-    Parquet sink with checkpoint, drained with an availableNow trigger."""
+    Parquet sink with checkpoint, drained with an availableNow trigger.
+
+    The backlog (one message file per publishing task) is paced into
+    ``STREAM_BATCHES`` micro-batches: their number stays fixed as the data grows
+    and each one is a distributed job over its share of the files."""
     from citeflow.streaming.scorer import file_message_source, run_available_now, score_messages
     f = _fitted(spark, sf_dir)
     src = publish_messages(index_messages(spark, sf_dir), scratch_path(spark, "messages"))
+    n_files = len(spark.read.text(src).inputFiles())
+    per_trigger = max(1, -(-n_files // STREAM_BATCHES))
     sink, ckpt = scratch_path(spark, "scored"), scratch_path(spark, "scored-ckpt")
-    scored = score_messages(file_message_source(spark, src, max_files_per_trigger=1), f.forest)
+    scored = score_messages(file_message_source(spark, src, max_files_per_trigger=per_trigger),
+                            f.forest)
     run_available_now(scored, sink, ckpt)
     return spark.read.parquet(sink)
 

@@ -59,5 +59,10 @@ def citations_from_lineitem(lineitem: DataFrame) -> DataFrame:
     return lineitem.selectExpr(*[f"{expr} AS {name}" for name, expr in CITATION_EXPRESSIONS])
 
 
+# the lineitem columns the fixture reads
+SOURCE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                  "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
 def citations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return citations_from_lineitem(read_table(spark, sf_dir, "lineitem"))
+    return citations_from_lineitem(read_table(spark, sf_dir, "lineitem", columns=SOURCE_COLUMNS))

@@ -55,9 +55,13 @@ def spread(df: DataFrame) -> DataFrame:
     return spark.read.parquet(_SPREAD[key])
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_splits: bool = True) -> DataFrame:
-    """One TESTDATA table (Parquet: columnar, pushdown and pruning for free)."""
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_splits: bool = True,
+               columns: list[str] | None = None) -> DataFrame:
+    """One TESTDATA table (Parquet: columnar, pushdown and pruning for free).
+    ``columns`` prunes before a spread copy, so the copy holds only what is read."""
     df = spark.read.parquet(f"{resolve_path(sf_dir).rstrip('/')}/{name}.parquet")
+    if columns is not None:
+        df = df.select(*columns)
     return spread(df) if spread_splits else df
 
 
