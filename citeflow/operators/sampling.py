@@ -27,13 +27,21 @@ from pyspark.sql import functions as F
 TREE_TOPK_CANDIDATES = 1_000_000
 
 
+def task_estimate(df: DataFrame) -> int:
+    """Tasks feeding a final merge, estimated without running anything: at least
+    one per input file and one per core. (``df.rdd.getNumPartitions()`` would be
+    exact, but on a plan with a shuffle adaptive execution runs the shuffle
+    stages to answer it, computing the input twice.)"""
+    try:
+        return max(len(df.inputFiles()), df.sparkSession.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no context access (e.g. Spark Connect)
+        return 1
+
+
 def ordered_limit(df: DataFrame, k: int, order: Sequence[Column | str],
                   tree_above: int = TREE_TOPK_CANDIDATES) -> DataFrame:
     """``df.orderBy(*order).limit(k)`` whose final merge stays bounded at any scale."""
-    try:
-        tasks = df.rdd.getNumPartitions()    # plans only; no job runs
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect)
-        tasks = 1
+    tasks = task_estimate(df)
     spark = df.sparkSession
     group_limit = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if tasks * k <= tree_above or tasks < 4 or not 0 < k <= group_limit:

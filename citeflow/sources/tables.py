@@ -21,7 +21,8 @@ _SPREAD: dict[tuple, str] = {}
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give an under-split Parquet input as many splits as the cluster has cores.
+    """Give an under-split Parquet input (a bare scan or a projection of one) as many
+    splits as the cluster has cores.
 
     A scan yields one task per file split, and a Parquet split only holds work if
     a row group starts in it: a small table stored as one row group is scanned,
@@ -40,11 +41,13 @@ def spread(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     try:
         cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()   # plans the scan only; no job runs
+        # a bare scan (no exchange): planning its RDD runs no job
+        if df.rdd.getNumPartitions() >= cores:
+            return df
         files = tuple(sorted(df.inputFiles()))
     except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
         return df
-    if splits >= cores or not files:
+    if not files:
         return df
     key = (spark.sparkContext.applicationId, files, tuple(df.columns))
     if key not in _SPREAD:
