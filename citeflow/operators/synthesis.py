@@ -59,14 +59,21 @@ def batch_quality(synthetic: DataFrame, source: DataFrame,
     """Per batch: lines requested, generated, and valid (tuple present in the
     source), and the valid fraction.
 
-    Synthetic tuples are first collapsed to (tuple, count): a tuple drawn many
-    times (a hot source tuple) becomes one row before the semi join against the
-    distinct source tuples, so no join key carries a large share of the rows.
+    Synthetic tuples are collapsed to (tuple, count) (at most ``requested`` rows).
+    The source is never shuffled: it is semi-joined against that broadcast table
+    (a proven size bound), the matching tuples are de-duplicated with a map-side
+    partial aggregation (at most ``requested`` rows per task, however hot a tuple
+    is), and only those few rows meet the synthetic counts.
     """
     parts = []
     for i, cols in enumerate(batches):
+        cols = list(cols)
         gen = synthetic.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
-        valid = gen.join(source.select(*cols).distinct(), list(cols), "left_semi")
+        tuples = gen.select(*cols)
+        if requested <= BROADCAST_DRAWS:
+            tuples = F.broadcast(tuples)
+        present = source.select(*cols).join(tuples, cols, "left_semi").distinct()
+        valid = gen.join(present, cols, "left_semi")
         parts.append(gen.agg(F.sum("n").alias("generated")).select(
             F.lit(i).alias("batch"), F.lit(requested).alias("requested"), "generated",
             valid.select(F.coalesce(F.sum("n"), F.lit(0))).scalar().alias("valid")))
