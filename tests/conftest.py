@@ -1,5 +1,4 @@
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -13,10 +12,9 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from citeflow.session import get_session
-    # a fresh scratch folder per run (on a cluster spark.checkpoint.dir is given)
-    ckpt = tempfile.mkdtemp(prefix="citeflow-tests-")
-    s = get_session(app="citeflow-tests", master="local[4]", shuffle_partitions=8,
-                    **{"spark.checkpoint.dir": ckpt})
+    # scratch output goes below spark.checkpoint.dir when the environment names
+    # one; get_session sets a folder of its own only when it is unset
+    s = get_session(app="citeflow-tests", master="local[4]", shuffle_partitions=8)
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

@@ -134,8 +134,9 @@ def test_clean_plan_has_no_shuffle_or_python(spark, sf_small):
     assert "Exchange" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
-def test_filters_reach_parquet_on_stored_raw(spark, sf_small, tmp_path):
-    path = str(tmp_path / "raw")
+def test_filters_reach_parquet_on_stored_raw(spark, sf_small):
+    from citeflow.session import scratch_path
+    path = scratch_path(spark, "t-stored-raw")
     citations(spark, sf_small).write.parquet(path)
     df = clean_citations(spark.read.parquet(path))
     import contextlib

@@ -79,13 +79,13 @@ def test_processing_time_trigger_memory_sink(spark, sf_small):
     assert spark.table("scored_messages").count() == feats.count()
 
 
-def test_paths_and_single_file_sink(spark, sf_small, tmp_path):
+def test_paths_and_single_file_sink(spark, sf_small):
     import os
     from citeflow.sources.tables import read_csv, resolve_path, write_csv
     from citeflow.operators.clean import clean_citations
     from citeflow.sources.fixture import citations
     assert resolve_path("s3n://bucket/x") == "s3a://bucket/x"
     out = clean_citations(citations(spark, sf_small))
-    path = write_csv(out, str(tmp_path / "one"), single_file=True)
+    path = write_csv(out, scratch_path(spark, "t-one"), single_file=True)
     assert len([f for f in os.listdir(path) if f.endswith(".csv")]) == 1
     assert read_csv(spark, path, schema=out.schema).count() == out.count()
