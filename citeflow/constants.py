@@ -119,8 +119,7 @@ EXPLAIN_ROWS = 5
 BACKGROUND_ROWS = 100
 ATTRIBUTION_SAMPLES = 50_000
 TARGET_CLASS = 1
-# Synthesis settings: rows read, lines generated per batch.
-SYNTH_SOURCE_ROWS = 40_000
+# Synthesis: lines generated per batch (learnt from the whole cleaned table).
 SYNTH_LINES = 2_000
 # Sample export size.
 SAMPLE_EXPORT_ROWS = 10_000
