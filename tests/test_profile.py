@@ -63,3 +63,12 @@ def test_bounded_topk_merge_equals_plain_limit(spark, sf_small):
     by_price = top_k(df, 25, "o_totalprice", tree_above=0).collect()
     assert by_price == df.orderBy(df.o_totalprice.desc(), *[c for c in df.columns if c != "o_totalprice"]) \
         .limit(25).collect()
+
+
+def test_topk_task_estimate_runs_no_job(spark, sf_small):
+    from citeflow.operators.sampling import task_estimate
+    tracker = spark.sparkContext.statusTracker()
+    grouped = spark.read.parquet(f"{sf_small}/lineitem.parquet").groupBy("l_suppkey").count()
+    before = set(tracker.getJobIdsForGroup(None))
+    assert task_estimate(grouped) >= spark.sparkContext.defaultParallelism
+    assert set(tracker.getJobIdsForGroup(None)) == before
