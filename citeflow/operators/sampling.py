@@ -93,17 +93,29 @@ def random_split(df: DataFrame, train_fraction: float = 0.8, seed: int = 42):
     return train, test
 
 
+# partitions (offset rows of 16 bytes) up to which the offsets table is broadcast
+MAX_BROADCAST_OFFSETS = 1_000_000
+
+
 def with_row_index(df: DataFrame, name: str = "row_idx") -> DataFrame:
     """Dense 0..N-1 index in partition order without collecting: partition
-    offsets come from a table with one row per partition (bounded by the
-    partition count, so its broadcast and its ordered window are tiny).
-    Deterministic when the input's partitioning is (file-backed or checkpointed
-    input); on a sorted, checkpointed input it is the global sort position."""
+    offsets come from a table with one row per partition, broadcast up to
+    ``MAX_BROADCAST_OFFSETS`` partitions (16 MB) and joined by shuffle beyond.
+    Its ordered window sees one row per partition, never data rows.
+    The input must be file-backed or checkpointed: then its partitioning is
+    deterministic (and reading its partition count runs no job); on a sorted,
+    checkpointed input the index is the global sort position."""
+    try:
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): keep the shuffle join
+        parts = MAX_BROADCAST_OFFSETS + 1
     tagged = df.withColumn("_mid", F.monotonically_increasing_id())
     tagged = tagged.withColumns({"_pid": F.shiftright("_mid", 33),
                                  "_pos": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))})
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
-    return (tagged.join(F.broadcast(offsets), "_pid")
+    if parts <= MAX_BROADCAST_OFFSETS:
+        offsets = F.broadcast(offsets)
+    return (tagged.join(offsets, "_pid")
             .withColumn(name, F.col("_off") + F.col("_pos"))
             .drop("_mid", "_pid", "_pos", "_off"))

@@ -89,3 +89,13 @@ def test_paths_and_single_file_sink(spark, sf_small):
     path = write_csv(out, scratch_path(spark, "t-one"), single_file=True)
     assert len([f for f in os.listdir(path) if f.endswith(".csv")]) == 1
     assert read_csv(spark, path, schema=out.schema).count() == out.count()
+
+
+def test_row_index_same_with_shuffled_offsets(spark, sf_small, monkeypatch):
+    from citeflow.operators import sampling
+    src = materialized_clean(spark, sf_small).select("summons_number", K.TARGET)
+    broadcast = with_row_index(src).collect()
+    monkeypatch.setattr(sampling, "MAX_BROADCAST_OFFSETS", 0)
+    shuffled = sampling.with_row_index(src)     # no hint: the planner's own size check decides
+    assert sorted(shuffled.collect()) == sorted(broadcast)
+    assert sorted(r["row_idx"] for r in broadcast) == list(range(src.count()))
