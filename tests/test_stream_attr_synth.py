@@ -99,3 +99,14 @@ def test_row_index_same_with_shuffled_offsets(spark, sf_small, monkeypatch):
     shuffled = sampling.with_row_index(src)     # no hint: the planner's own size check decides
     assert sorted(shuffled.collect()) == sorted(broadcast)
     assert sorted(r["row_idx"] for r in broadcast) == list(range(src.count()))
+
+
+def test_registered_stream_drains_in_fixed_batches(spark, sf_small):
+    import os
+    from urllib.parse import urlparse
+    from citeflow.plans.catalog import QUERIES, STREAM_BATCHES
+    out = QUERIES["stream_score"](spark, sf_small)
+    sink = os.path.dirname(urlparse(out.inputFiles()[0]).path)
+    batches = [f for f in os.listdir(os.path.join(sink, "_spark_metadata")) if f.isdigit()]
+    assert 1 <= len(batches) <= STREAM_BATCHES
+    assert out.count() == fit_all(spark, sf_small).test.count()
