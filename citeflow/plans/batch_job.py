@@ -69,14 +69,12 @@ def fit_all(spark: SparkSession, sf_dir: str, num_trees: int = K.FOREST_TREES) -
     key = (spark.sparkContext.applicationId, id(spark), sf_dir, num_trees)
     if key in _CACHE:
         return _CACHE[key]
+    # the training rows are a scan of the written clean table, read twice (index
+    # counts, featurization); only the featurized rows, which the fits read many
+    # times, are persisted (in train_models)
     train, test = train_test(spark, sf_dir)
-    train = train.persist()
-    try:
-        feats = MD.fit_feature_model(train)
-        rf, dt = MD.train_models(train, feats, [MD.forest(feats, num_trees=num_trees),
-                                                MD.tree(feats)])
-    finally:
-        train.unpersist()
+    feats = MD.fit_feature_model(train)
+    rf, dt = MD.train_models(train, feats, [MD.forest(feats, num_trees=num_trees), MD.tree(feats)])
     fitted = Fitted(train, test, feats, rf, dt)
     _CACHE[key] = fitted
     return fitted

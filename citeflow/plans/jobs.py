@@ -67,15 +67,14 @@ def train_job(spark: SparkSession, cleaned: DataFrame, model_path: str | None =
         train, test = key_split(cleaned, F.col(key), buckets=5, test_buckets=1)
     else:
         train, test = random_split(cleaned, K.TRAIN_FRACTION, seed)
-    train = train.persist()
-    try:
-        feats = MD.fit_feature_model(train)
-        ests = {"random_forest": MD.forest(feats, num_trees=num_trees, seed=seed),
-                "decision_tree": MD.tree(feats, seed=seed)}
-        chosen = [m for m in models if m in ests]
-        fitted = dict(zip(chosen, MD.train_models(train, feats, [ests[m] for m in chosen])))
-    finally:
-        train.unpersist()
+    # the split is deterministic over the stored table, so it is scanned twice
+    # (index counts, featurization) instead of cached whole; train_models
+    # persists only the featurized rows the fits read many times
+    feats = MD.fit_feature_model(train)
+    ests = {"random_forest": MD.forest(feats, num_trees=num_trees, seed=seed),
+            "decision_tree": MD.tree(feats, seed=seed)}
+    chosen = [m for m in models if m in ests]
+    fitted = dict(zip(chosen, MD.train_models(train, feats, [ests[m] for m in chosen])))
     if model_path and "random_forest" in fitted:
         save_model(fitted["random_forest"], model_path)
     out = None
