@@ -167,3 +167,11 @@ def test_canonicalize_regex_and_literal_rules(spark):
     rules = [("A.C", "x"), ("$", "d")]      # regex rule (dot, anchor) vs literal text
     got = [r[0] for r in df.select(canonicalize("c", rules)).collect()]
     assert got == ["xd", "xd", "N$Yd"]
+
+
+def test_clean_over_spread_copy_has_no_exchange(spark, sf_mid):
+    from citeflow.plans.catalog import stages
+    cleaned = stages(spark, sf_mid)["cleaned"]
+    plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "RoundRobinPartitioning" not in plan
+    assert cleaned.rdd.getNumPartitions() >= min(spark.sparkContext.defaultParallelism, 2)
