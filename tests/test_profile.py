@@ -72,3 +72,14 @@ def test_topk_task_estimate_runs_no_job(spark, sf_small):
     before = set(tracker.getJobIdsForGroup(None))
     assert task_estimate(grouped) >= spark.sparkContext.defaultParallelism
     assert set(tracker.getJobIdsForGroup(None)) == before
+
+
+def test_seeded_random_split_is_deterministic_and_disjoint(spark, sf_small):
+    from citeflow.operators.sampling import random_split
+    df = spark.read.parquet(f"{sf_small}/orders.parquet").select("o_orderkey")
+    a_train, a_test = random_split(df, 0.8, seed=7)
+    b_train, b_test = random_split(df, 0.8, seed=7)
+    tr, te = {r[0] for r in a_train.collect()}, {r[0] for r in a_test.collect()}
+    assert tr == {r[0] for r in b_train.collect()} and te == {r[0] for r in b_test.collect()}
+    assert not tr & te and len(tr) + len(te) == df.count()
+    assert 0.7 < len(tr) / df.count() < 0.9
