@@ -2,8 +2,9 @@
 
 On a cluster, intermediate files (round trips, saved models, stream sinks and
 checkpoints) must live in the shared folder named by ``spark.checkpoint.dir``;
-never in a machine-local temporary folder. Only when that setting is unset (tests,
-local runs) do we set one of our own.
+never in a machine-local temporary folder. Only when that setting is unset on a
+local master (tests, local runs) do we set one of our own; unset on a cluster is
+an error.
 """
 
 from __future__ import annotations
@@ -59,8 +60,14 @@ def checkpoint_root(spark: SparkSession) -> str:
             root = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key
             root = None
+    if not root and sc.getCheckpointDir():
+        root = sc.getCheckpointDir()          # set by the application itself
     if not root:
-        root = os.path.join(tempfile.gettempdir(), "citeflow-checkpoints")
+        if not sc.master.startswith("local"):
+            # a machine-local folder would scatter checkpoints over executor disks
+            raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS or object store): "
+                             "citeflow writes checkpoints and scratch tables below it")
+        root = os.path.join(tempfile.gettempdir(), "citeflow-checkpoints")   # local runs only
         spark.conf.set("spark.checkpoint.dir", root)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
