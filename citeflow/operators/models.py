@@ -155,10 +155,18 @@ def classification_metrics(pred: DataFrame, label_col: str = "label",
     """
     conf = pred.groupBy(F.col(label_col).alias("y"), F.col(prediction_col).alias("p")) \
         .agg(F.count(F.lit(1)).alias("n"))
-    actual = conf.groupBy("y").agg(F.sum("n").alias("actual"),
-                                   F.sum(F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0)).alias("tp"))
-    predicted = conf.groupBy(F.col("p").alias("y")).agg(F.sum("n").alias("predicted"))
-    per = actual.join(predicted, "y", "left").fillna(0, ["predicted"])
+    # each confusion cell counts once for its true class and once for its
+    # predicted class; one grouping gives actual, true-positive and predicted
+    # counts per class (a class only ever predicted gets weight 0 below)
+    zero = F.lit(0).cast("long")
+    roles = conf.select(F.explode(F.array(
+        F.struct(F.col("y").alias("c"), F.col("n").alias("actual"),
+                 F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(zero).alias("tp"),
+                 zero.alias("predicted")),
+        F.struct(F.col("p").alias("c"), zero.alias("actual"), zero.alias("tp"),
+                 F.col("n").alias("predicted")))).alias("r")).select("r.*")
+    per = roles.groupBy("c").agg(F.sum("actual").alias("actual"), F.sum("tp").alias("tp"),
+                                 F.sum("predicted").alias("predicted"))
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(F.lit(0.0))
     rec = F.when(F.col("actual") > 0, F.col("tp") / F.col("actual")).otherwise(F.lit(0.0))
     per = per.withColumns({"precision": prec, "recall": rec})

@@ -73,3 +73,12 @@ def test_wide_columns_indexed_by_join_match_string_indexer(spark, sf_small):
     a = sorted(wide_model.transform(f.test).select(*cols).collect())
     b = sorted(ref.transform(f.test).select(*cols).collect())
     assert a == b
+
+
+def test_metrics_with_class_only_predicted(spark):
+    rows = [(0.0, 0.0), (0.0, 2.0), (1.0, 1.0), (1.0, 0.0), (1.0, 2.0), (0.0, 0.0)]
+    pred = spark.createDataFrame(rows, "label double, prediction double")
+    ours = {r["metric"]: r["value"] for r in classification_metrics(pred).collect()}
+    for m in ["f1", "accuracy", "weightedPrecision", "weightedRecall"]:
+        ref = MulticlassClassificationEvaluator(metricName=m).evaluate(pred)
+        assert abs(ours[m] - ref) < 1e-9, m
