@@ -50,3 +50,32 @@ def test_clean_job_csv_output_reads_back_typed(spark, sf_small):
     back = read_cleaned(spark, out)
     assert back.schema.simpleString() == spark.createDataFrame([], CLEANED_SCHEMA).schema.simpleString()
     assert back.count() > 0
+
+
+def test_unset_checkpoint_dir_is_an_error_on_a_cluster():
+    import pytest
+    from citeflow.session import checkpoint_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class RuntimeConf:
+        def get(self, key):
+            raise KeyError(key)
+
+    class Session:
+        sparkContext = Context()
+        conf = RuntimeConf()
+
+    with pytest.raises(ValueError, match="shared folder"):
+        checkpoint_root(Session())
