@@ -30,3 +30,9 @@ def test_query_matches_oracle(spark, sf_small, name):
     assert sorted(sdf.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert digest(sdf.columns, srows) == digest(dcols, drows)
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_no_cross_join_in_any_query(spark, sf_small, name):
+    plan = entry.queries()[name](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
