@@ -33,6 +33,7 @@ def test_query_matches_oracle(spark, sf_small, name):
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_no_cross_join_in_any_query(spark, sf_small, name):
+def test_no_cross_join_or_python_in_any_query(spark, sf_small, name):
     plan = entry.queries()[name](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
