@@ -31,27 +31,40 @@ from citeflow.operators.sampling import with_row_index
 BROADCAST_DRAWS = 2_000_000
 
 
-def draw_batch(indexed: DataFrame, n_source, cols: Sequence[str], n: int, seed: int,
+def draw_table(spark, n_source, n: int, batches: int, seed: int,
                idx_col: str = "row_idx") -> DataFrame:
-    """n seeded uniform draws of source rows, projected on ``cols``: (draw_id, cols...)."""
-    spark = indexed.sparkSession
-    draws = spark.range(n).withColumnRenamed("id", "draw_id") \
-        .withColumn(idx_col, F.floor(F.rand(seed) * n_source).cast("long"))
-    draws = F.broadcast(draws) if n <= BROADCAST_DRAWS else draws
-    return draws.join(indexed.select(idx_col, *cols), idx_col).select("draw_id", *cols)
+    """(draw_id, batch, row index) for n seeded uniform draws per batch; batch i
+    draws with seed ``seed + i``."""
+    out = None
+    for i in range(batches):
+        d = spark.range(n).select(F.col("id").alias("draw_id"), F.lit(i).alias("batch"),
+                                  F.floor(F.rand(seed + i) * n_source).cast("long").alias(idx_col))
+        out = d if out is None else out.unionByName(d)
+    return out
 
 
 def synthesize(source: DataFrame, batches: Sequence[Sequence[str]] = K.BATCHES,
                n: int = K.SYNTH_LINES, seed: int = 42) -> DataFrame:
-    """n synthetic rows; columns in source order."""
+    """n synthetic rows; columns in source order.
+
+    The draws of every batch form one table (n x batches rows, broadcast below
+    ``BROADCAST_DRAWS``), so the indexed source is scanned and joined once for
+    all batches; each draw then contributes its batch's columns, and one
+    grouping by draw id (exactly one row per batch in each group) zips the
+    batches side by side.
+    """
+    spark = source.sparkSession
     indexed = with_row_index(source.select(*[c for b in batches for c in b]))
     n_source = indexed.select(F.count(F.lit(1))).scalar()
-    out = None
-    for i, cols in enumerate(batches):
-        part = draw_batch(indexed, n_source, cols, n, seed + i)
-        out = part if out is None else out.join(part, "draw_id")
+    draws = draw_table(spark, n_source, n, len(batches), seed)
+    if n * len(batches) <= BROADCAST_DRAWS:
+        draws = F.broadcast(draws)
+    picked = draws.join(indexed, "row_idx")
+    zipped = picked.groupBy("draw_id").agg(*[
+        F.max(F.when(F.col("batch") == F.lit(i), F.col(c))).alias(c)
+        for i, cols in enumerate(batches) for c in cols])
     order = [c for c in source.columns if any(c in b for b in batches)]
-    return out.select("draw_id", *order)
+    return zipped.select("draw_id", *order)
 
 
 def batch_quality(synthetic: DataFrame, source: DataFrame,
@@ -65,6 +78,9 @@ def batch_quality(synthetic: DataFrame, source: DataFrame,
     partial aggregation (at most ``requested`` rows per task, however hot a tuple
     is), and only those few rows meet the synthetic counts.
     """
+    from citeflow.session import reliable_checkpoint
+    # the synthetic rows (n of them) are read twice per batch: materialize once
+    synthetic = reliable_checkpoint(synthetic)
     parts = []
     for i, cols in enumerate(batches):
         cols = list(cols)
