@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from citeflow.llm.forced_bpe import op10_forced_boundary_bpe
 from citeflow.llm.packing import op4_best_fit_packing
+from citeflow.llm.partenum import op5_partenum_join
+from citeflow.llm.suffix_dedup import op7_suffix_array_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_partenum_join": op5_partenum_join,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op10_forced_boundary_bpe": op10_forced_boundary_bpe,
 }
 ORACLES: dict[str, str] = {}
