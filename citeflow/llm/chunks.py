@@ -42,17 +42,33 @@ def split_before_space(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     return chunks, np.searchsorted(starts, at)
 
 
-def split_at_space(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
-    """Runs without ASCII white space, and the run range of each text."""
-    buf = np.frombuffer(b"\n".join(texts), np.uint8)
+#: 1: ASCII letters; 2: other ASCII but the apostrophe (it may begin a contraction); 0: the rest
+KIND = np.zeros(256, np.int8)
+KIND[:128] = 2
+KIND[[*range(65, 91), *range(97, 123)]] = 1
+KIND[39] = 0
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[65:91] += 32
+
+
+def split_words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """Runs without ASCII white space, cut between ASCII letters and other ASCII, A-Z lower-cased,
+    and the range of each text: for vocabularies that lower-case, drop white space and keep
+    letters apart from the rest. Blocks that may hold special tokens are not cut or folded."""
+    raw = b"\n".join(texts)
+    buf = np.frombuffer(raw, np.uint8)
     at = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)]).astype(np.int64)
-    word = np.zeros(len(buf) + 2, np.int8)
-    word[1:-1] = ~SPACE[buf]
-    step = np.diff(word)
-    starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    kept = buf[word[1:-1].astype(bool)]
-    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
-    runs = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(kept))])
+    word = ~SPACE[buf]
+    first = word.copy()
+    first[1:] &= ~word[:-1]
+    if b"<|" not in raw:
+        kind = KIND[buf]
+        first[1:] |= (kind[1:] + kind[:-1] == 3) & word[1:] & word[:-1]
+        buf = FOLD[buf]
+    starts = np.flatnonzero(first)
+    kept = np.ascontiguousarray(buf[word])
+    offsets = np.append(np.flatnonzero(first[word]), len(kept)).astype(np.int32)
+    runs = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
     return runs, np.searchsorted(starts, at)
 
 

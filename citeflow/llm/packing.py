@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from citeflow.llm.chunks import ChunkEncoder, split_at_space
+from citeflow.llm.chunks import ChunkEncoder, split_words
 from citeflow.llm.common import document_columns, partitions_for, read, stored, text_blocks
 
 CAPACITY = 2048
@@ -45,7 +45,7 @@ _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
 def library_encoder(path: str) -> ChunkEncoder:
-    """Ids by the tokenizers library, each distinct run without white space once per worker."""
+    """Ids by the tokenizers library, each distinct word once per worker."""
     if path not in _ENCODERS:
         import os
 
@@ -60,7 +60,7 @@ def library_encoder(path: str) -> ChunkEncoder:
             found = tokenizer.encode_batch_fast([r.decode() for r in runs], add_special_tokens=False)
             return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-        _ENCODERS[path] = ChunkEncoder(split_at_space, encode)
+        _ENCODERS[path] = ChunkEncoder(split_words, encode, limit=800_000)
     return _ENCODERS[path]
 
 
