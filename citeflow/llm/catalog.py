@@ -7,14 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from citeflow.llm.forced_bpe import op10_forced_boundary_bpe
+from citeflow.llm.line_templates import op9_log_template_lines
 from citeflow.llm.packing import op4_best_fit_packing
 from citeflow.llm.partenum import op5_partenum_join
 from citeflow.llm.suffix_dedup import op7_suffix_array_dedup
+from citeflow.llm.syncmers import op8_closed_syncmers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_partenum_join": op5_partenum_join,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
+    "op8_closed_syncmers": op8_closed_syncmers,
+    "op9_log_template_lines": op9_log_template_lines,
     "op10_forced_boundary_bpe": op10_forced_boundary_bpe,
 }
 ORACLES: dict[str, str] = {}
