@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from citeflow.llm.brown_lm import op1_brown_class_lm
 from citeflow.llm.forced_bpe import op10_forced_boundary_bpe
 from citeflow.llm.line_templates import op9_log_template_lines
 from citeflow.llm.packing import op4_best_fit_packing
@@ -14,6 +15,7 @@ from citeflow.llm.suffix_dedup import op7_suffix_array_dedup
 from citeflow.llm.syncmers import op8_closed_syncmers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_brown_class_lm": op1_brown_class_lm,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_partenum_join": op5_partenum_join,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
