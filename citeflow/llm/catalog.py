@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from citeflow.llm.brown_lm import op1_brown_class_lm
 from citeflow.llm.forced_bpe import op10_forced_boundary_bpe
 from citeflow.llm.line_templates import op9_log_template_lines
+from citeflow.llm.multi_index import op6_inverted_multi_index
 from citeflow.llm.packing import op4_best_fit_packing
 from citeflow.llm.partenum import op5_partenum_join
 from citeflow.llm.suffix_dedup import op7_suffix_array_dedup
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_brown_class_lm": op1_brown_class_lm,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_partenum_join": op5_partenum_join,
+    "op6_inverted_multi_index": op6_inverted_multi_index,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_closed_syncmers": op8_closed_syncmers,
     "op9_log_template_lines": op9_log_template_lines,
