@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from citeflow.llm.brown_lm import op1_brown_class_lm
 from citeflow.llm.forced_bpe import op10_forced_boundary_bpe
+from citeflow.llm.language_id import op2_bayes_language_id
+from citeflow.llm.licenses import op3_license_scan
 from citeflow.llm.line_templates import op9_log_template_lines
 from citeflow.llm.multi_index import op6_inverted_multi_index
 from citeflow.llm.packing import op4_best_fit_packing
@@ -17,6 +20,8 @@ from citeflow.llm.syncmers import op8_closed_syncmers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_brown_class_lm": op1_brown_class_lm,
+    "op2_bayes_language_id": op2_bayes_language_id,
+    "op3_license_scan": op3_license_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_partenum_join": op5_partenum_join,
     "op6_inverted_multi_index": op6_inverted_multi_index,
@@ -24,5 +29,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_closed_syncmers": op8_closed_syncmers,
     "op9_log_template_lines": op9_log_template_lines,
     "op10_forced_boundary_bpe": op10_forced_boundary_bpe,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {}
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
