@@ -127,7 +127,7 @@ def shingle_hashes(words: np.ndarray, bounds: np.ndarray, size: int = 5) -> tupl
     weights = powers(0xD6E8FEB86659FD93 | 3, size)
     owner = np.repeat(np.arange(len(counts)), counts)
     left = bounds[1:][owner] - np.arange(n)  # words from here to the text's end
-    for j in range(size):
+    for j in range(min(size, n)):
         part = words[j:] * weights[j]
         rolled[: n - j] += np.where(left[: n - j] > j, part, U64(0))
     full = np.minimum(counts, size)[owner]
