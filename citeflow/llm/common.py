@@ -8,16 +8,19 @@ is longer), so the memory of a task does not grow with its partition.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeflow.session import ensure_checkpoint_dir, scratch_path
 
 BLOCK_BYTES = 4 << 20
+ARROW_BYTES = 16 << 20
 
 U64 = np.uint64
 _RNG = np.random.default_rng(20240607)
@@ -33,7 +36,40 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _POWERS: dict[int, np.ndarray] = {}
 
 
+_READY: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> None:
+    """Once per application: where the Python workers cannot import this package (the application
+    was started without it), its functions travel with their code instead of by name."""
+    app = spark.sparkContext.applicationId
+    if app in _READY:
+        return
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import importlib.util
+
+        import pyarrow
+
+        for batch in batches:
+            there = importlib.util.find_spec("citeflow") is not None
+            yield pyarrow.RecordBatch.from_arrays([pyarrow.array([there] * batch.num_rows)], ["there"])
+
+    if not spark.range(1).mapInArrow(look, "there boolean").first()[0]:
+        cloudpickle.register_pickle_by_value(sys.modules["citeflow"])
+    _READY.add(app)
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Python tasks see at most ``ARROW_BYTES`` (or one row) of a table at a time."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("b")) > ARROW_BYTES:
+        spark.conf.set(key, str(ARROW_BYTES))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    prepare(spark)
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -42,6 +78,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     does not repeat the work, and an executor that is lost takes nothing with it."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    bound_batches(spark)
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

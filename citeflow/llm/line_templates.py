@@ -100,20 +100,15 @@ def recurring_lines(docs: DataFrame, text_col: str = "text", shapes: int = SHAPE
     return stored(exact.select("line").unionByName(general).distinct(), "dropped")
 
 
-def _row_key(id_col: str, text_col: str) -> Column:
-    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-
-
 def _with_drops(docs: DataFrame, dropped: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` and ``drops``: the hashes of the lines that a document loses (null: none)."""
+    """``row`` (all columns of ``docs``) and ``drops``: the hashes of the lines it loses (null: none)."""
     text = F.col(text_col).cast("string")
-    key = [F.col(id_col).cast("long").alias("own_id"), _row_key(id_col, text_col).alias("own_key")]
-    hashes = F.transform(_lines(_masked(text)), _line_hash)
-    own = docs.select(*key, F.explode(F.array_distinct(hashes)).alias("line")).join(dropped, "line", "left_semi")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(id_col).cast("long"), text).alias("key"))
+    hashes = F.transform(_lines(_masked(F.col(f"row.`{text_col}`").cast("string"))), _line_hash)
     # a line of a third of all documents is one key of this join: its other side is one row
-    own = own.groupBy("own_id", "own_key").agg(F.collect_set("line").alias("drops"))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("own_id")) & (_row_key(id_col, text_col) == F.col("own_key"))
-    return docs.join(own, same, "left").drop("own_id", "own_key")
+    own = rows.select("id", "key", F.explode(F.array_distinct(hashes)).alias("line")).join(dropped, "line", "left_semi")
+    own = own.groupBy("id", "key").agg(F.collect_set("line").alias("drops")).withColumnsRenamed({"id": "own_id", "key": "own_key"})
+    return rows.join(own, F.col("id").eqNullSafe(F.col("own_id")) & (F.col("key") == F.col("own_key")), "left").select("row", "drops")
 
 
 def _kept(text: Column, drops: Column) -> Column:
@@ -126,15 +121,15 @@ def without_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: s
                             shapes: int = SHAPES, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with the lines of recurring templates taken out of ``text_col``."""
     both = _with_drops(docs, recurring_lines(docs, text_col, shapes, similarity), id_col, text_col)
-    text = F.col(text_col)
+    text = F.col(f"row.`{text_col}`")
     kept = F.when(F.col("drops").isNull(), text).otherwise(F.array_join(_kept(text, F.col("drops")), "\n"))
-    return both.withColumn(text_col, kept).select(*docs.columns)
+    return both.select(*[kept.alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id, n_lines, n_dropped, kept_chars, kept_sha256``."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    both = _with_drops(docs, recurring_lines(docs), "doc_id", "text")
+    both = _with_drops(docs, recurring_lines(docs), "doc_id", "text").select("row.*", "drops")
     lines = _lines(F.coalesce("text", F.lit("")))
     both = both.select("doc_id", F.size(lines).cast("long").alias("n_lines"),
                        F.when(F.col("drops").isNull(), lines).otherwise(_kept(F.col("text"), F.col("drops"))).alias("kept"))

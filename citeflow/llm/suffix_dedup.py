@@ -28,23 +28,26 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeflow.llm.common import (BASE, BASE_INV, BYTE_HASH, U64, mix, partitions_for, powers, read,
+from citeflow.llm.common import (BASE, BASE_INV, BYTE_HASH, U64, document_columns, mix, partitions_for, powers, read,
                                  signed, stored, text_blocks)
 
 LENGTH = 400
 GRAM = 144
 #: different surroundings that one group of the local sort may hold
-GROUP = 256
+GROUP = 768
 SHALLOW = 24
-BLOCK = 2 << 20
-SLOTS = 1 << 22
-OCCURRENCE = "doc_id long, row_key long, pos long, gram long, around long"
+BLOCK = 1 << 20
+#: anchors whose bytes are wanted are told to the scan by a table of so many bits, made in ranges
+SLOTS = 1 << 25
+RANGE = 1 << 15
+OCCURRENCE = "doc_id long, row_key long, pos long, gram long, around long, lo long, hi long"
 
 
 def _sums(buf: np.ndarray) -> np.ndarray:
@@ -53,8 +56,9 @@ def _sums(buf: np.ndarray) -> np.ndarray:
     return out
 
 
-def _hash_between(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return mix((sums[end] - sums[start]) * powers(BASE_INV, len(sums))[start] + (end - start).astype(U64))
+def _hash_between(sums: np.ndarray, start: np.ndarray | slice, end: np.ndarray | slice) -> np.ndarray:
+    size = U64(end.start - start.start) if isinstance(start, slice) else (end - start).astype(U64)
+    return mix((sums[end] - sums[start]) * powers(BASE_INV, len(sums))[start] + size)
 
 
 def _window_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -70,66 +74,78 @@ def _window_minima(values: np.ndarray, width: int) -> np.ndarray:
 
 def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """(text index, position, gram hash, hash of the surroundings, first and last byte of the
-    surroundings) of the anchors of one block of texts."""
+    surroundings) of the anchors of one block of texts. The surroundings are the windows that
+    have this anchor: each window has one, told by its own bytes."""
     raw = b"".join(texts)
-    if len(raw) > 2 * BLOCK:  # one very long text, in overlapping segments
-        found = [anchors([raw[a:a + BLOCK + 2 * length]], length, gram) for a in range(0, len(raw), BLOCK)]
-        index = np.concatenate([f[0] for f in found])
-        pos = np.concatenate([f[1] + a for f, a in zip(found, range(0, len(raw), BLOCK))])
-        grams = np.concatenate([f[2] for f in found])
-        pos, first = np.unique(pos, return_index=True)
-        buf = np.frombuffer(raw, np.uint8)
-        lo, hi = np.maximum(pos - (length - gram), 0), np.minimum(pos + length, len(raw))
-        around = np.empty(len(pos), U64)
-        for i, (a, b) in enumerate(zip(lo.tolist(), hi.tolist())):
-            around[i] = _hash_between(_sums(buf[a:b]), np.array([0]), np.array([b - a]))[0]
-        around = mix(around + mix((pos - lo).astype(U64) * U64(4096) + (hi - pos).astype(U64)))
-        return index[first], pos, grams[first], around, lo, hi
+    if len(texts) > 1 or len(raw) <= 2 * BLOCK:
+        return _anchors(raw, np.cumsum([len(t) for t in texts], dtype=np.int64), length, gram, len(raw))
+    # one very long text: windows that start in one segment after another
+    found = []
+    for a in range(0, len(raw), BLOCK):
+        part = raw[a:a + BLOCK + length - 1]
+        text, pos, grams, around, lo, hi = _anchors(part, np.array([len(part)]), length, gram, BLOCK)
+        found.append((text, pos + a, grams, around, lo + a, hi + a))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _anchors(raw: bytes, ends: np.ndarray, length: int, gram: int, starts_below: int) -> tuple[np.ndarray, ...]:
     buf = np.frombuffer(raw, np.uint8)
-    ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
-    starts = ends - np.diff(ends, prepend=0)
     none = np.zeros(0, np.int64)
     if len(buf) < length:
         return none, none, none.view(U64), none.view(U64), none, none
+    sizes = np.diff(ends, prepend=0)
     sums = _sums(buf)
     n = len(buf) - gram + 1
-    left = np.repeat(ends, np.diff(ends, prepend=0))[:n] - np.arange(n)  # bytes to the end of the text
-    at = np.arange(n)
-    grams = _hash_between(sums, at, at + gram)
+    left = (np.repeat(ends, sizes)[:n] - np.arange(n)).astype(np.int32)  # bytes to the end of the text
+    grams = _hash_between(sums, slice(0, n), slice(gram, gram + n))
     bits = U64(len(buf).bit_length())
-    keyed = np.where(left >= gram, ((grams >> bits) << bits) | at.astype(U64), np.iinfo(U64).max)
+    keyed = np.where(left >= gram, ((grams >> bits) << bits) | np.arange(n, dtype=U64), np.iinfo(U64).max)
     lows = _window_minima(keyed, length - gram + 1)
-    lows = lows[left[: len(lows)] >= length]
-    pos = np.unique((lows & ((U64(1) << bits) - U64(1))).astype(np.int64))
+    del keyed
+    start = np.flatnonzero(left[: len(lows)][:starts_below] >= length)
+    if not len(start):
+        return none, none, none.view(U64), none.view(U64), none, none
+    at = (lows[start] & ((U64(1) << bits) - U64(1))).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    pos, lo = at[first], start[first]
+    hi = start[np.append(first[1:], len(at)) - 1] + length
     text = np.searchsorted(ends, pos, "right")
-    lo, hi = np.maximum(pos - (length - gram), starts[text]), np.minimum(pos + length, ends[text])
     around = mix(_hash_between(sums, lo, hi) + mix((pos - lo).astype(U64) * U64(4096) + (hi - pos).astype(U64)))
-    return text, pos - starts[text], grams[pos], around, lo - starts[text], hi - starts[text]
+    base = (ends - sizes)[text]
+    return text, pos - base, grams[pos], around, lo - base, hi - base
 
 
 def _occurrences(length: int, gram: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in text_blocks(batch, "text", BLOCK):
-                text, pos, grams, around, _, _ = anchors(texts, length, gram)
+                text, pos, grams, around, lo, hi = anchors(texts, length, gram)
                 who = pa.array(text, pa.int64())
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id")[rows].take(who), batch.column("row_key")[rows].take(who),
-                    pa.array(pos, pa.int64()), pa.array(signed(grams)), pa.array(signed(around)),
-                ], ["doc_id", "row_key", "pos", "gram", "around"])
+                    pa.array(pos, pa.int64()), pa.array(signed(grams)), pa.array(signed(around)), pa.array(lo, pa.int64()), pa.array(hi, pa.int64()),
+                ], ["doc_id", "row_key", "pos", "gram", "around", "lo", "hi"])
 
     return work
 
 
+def _slot(gram: np.ndarray, around: np.ndarray) -> np.ndarray:
+    return (mix(around ^ gram) & U64(SLOTS - 1)).astype(np.int64)
+
+
+def _marked(table: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (table[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
+
+
 def _surroundings(table, length: int, gram: int):
     """The bytes around the anchors whose slot is marked: ``left`` of them stand before the gram."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(table.value).astype(bool)
+        bits = table.value
         for batch in batches:
             for rows, texts in text_blocks(batch, "text", BLOCK):
                 text, pos, grams, around, lo, hi = anchors(texts, length, gram)
-                hit = np.flatnonzero(bits[(mix(around ^ grams) % U64(SLOTS)).astype(np.int64)])
+                hit = np.flatnonzero(_marked(bits, _slot(grams, around)))
                 who = pa.array(text[hit], pa.int64())
                 cut = [texts[t][a:b] for t, a, b in zip(text[hit].tolist(), lo[hit].tolist(), hi[hit].tolist())]
                 yield pa.RecordBatch.from_arrays([
@@ -143,8 +159,27 @@ def _surroundings(table, length: int, gram: int):
 
 def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        x = np.asarray(batch.column("around")).view(U64) ^ np.asarray(batch.column("gram")).view(U64)
-        yield pa.RecordBatch.from_arrays([pa.array(np.unique(mix(x) % U64(SLOTS)).astype(np.int64))], ["slot"])
+        slot = np.unique(_slot(np.asarray(batch.column("gram")).view(U64), np.asarray(batch.column("around")).view(U64)))
+        yield pa.RecordBatch.from_arrays([pa.array(slot // RANGE), pa.array(slot % RANGE)], ["part", "slot"])
+
+
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts: dict[int, np.ndarray] = {}
+    for batch in batches:
+        part, slot = np.asarray(batch.column("part")), np.asarray(batch.column("slot"))
+        for p in np.unique(part).tolist():
+            parts.setdefault(p, np.zeros(RANGE, bool))[slot[part == p]] = True
+    yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int64()), pa.array([np.packbits(b).tobytes() for b in parts.values()], pa.binary())], ["part", "bits"])
+
+
+def _bit_table(anchored: DataFrame) -> np.ndarray:
+    """The packed bits of the slots of ``gram, around``: of one size, whatever the input."""
+    spark = anchored.sparkSession
+    made = anchored.select("gram", "around").mapInArrow(_slots, "part long, slot long").repartition(partitions_for(spark, 1, 1), "part")
+    table = np.zeros(SLOTS // 8, np.uint8)
+    for r in made.mapInArrow(_bits, "part long, bits binary").toLocalIterator():
+        table[r["part"] * (RANGE // 8):(r["part"] + 1) * (RANGE // 8)] = np.frombuffer(r["bits"], np.uint8)
+    return table
 
 
 def common_prefix(a: bytes, b: bytes) -> int:
@@ -320,30 +355,25 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     # 2: surroundings that occur twice go everywhere
     twice = around.where("n > 1").select("gram", "around")
     meet = around.where("kinds > 1").select("gram", "around", "n")
-    back = F.col("pos") - (length - gram)
-    whole = found.join(twice, ["gram", "around"]).select(
-        "doc_id", "row_key", F.greatest(back, F.lit(0)).alias("start"), (F.col("pos") + length).alias("end"))
+    spans = [found.join(twice, ["gram", "around"]).select("doc_id", "row_key", F.col("lo").alias("start"), F.col("hi").alias("end"))]
     # 3: one occurrence of each of the others, with its bytes
-    bits = np.zeros(SLOTS, bool)
-    bits[meet.select("gram", "around").mapInArrow(_slots, "slot long").distinct().toPandas()["slot"].to_numpy(np.int64)] = True
-    marked = spark.sparkContext.broadcast(np.packbits(bits))
+    marked = spark.sparkContext.broadcast(_bit_table(meet))
     chosen = (found.join(meet, ["gram", "around"]).groupBy("gram", "around", "n").agg(F.min(one).alias("at"))
               .select("gram", "around", "n", "at.*"))
-    cut = docs.mapInArrow(_surroundings(marked, length, gram), OCCURRENCE + ", left long, bytes binary")
+    cut = docs.mapInArrow(_surroundings(marked, length, gram), "doc_id long, row_key long, pos long, gram long, around long, left long, bytes binary")
     same = [cut[c].eqNullSafe(chosen[c]) for c in ("gram", "around", "doc_id", "row_key", "pos")]
     level = stored(cut.join(chosen, same).select(cut["doc_id"], cut["row_key"], cut["pos"], cut["gram"].alias("g"), cut["around"],
                                                  "n", "left", "bytes").dropDuplicates(["g", "around"])
                    .withColumns({"near": F.lit(0), "far": F.lit(length - gram)}), "surroundings")
-    spans = whole
     while True:
         sizes = level.groupBy("g").agg(F.count("*").alias("size"))
         groups = stored(level.join(sizes.where("size > 1"), "g"), "groups")
         large, rows = groups.agg(F.max("size") > GROUP, F.count("*")).first()
         local = groups.where(F.col("size") <= GROUP).select("g", "n", "doc_id", "row_key", "pos", "left", "bytes")
-        spans = spans.unionByName(local.repartition(partitions_for(spark, rows, 20_000), "g")
-                                  .mapInArrow(_matches(length, gram), "doc_id long, row_key long, start long, end long"))
+        spans.append(stored(local.repartition(partitions_for(spark, rows, 20_000), "g")
+                            .mapInArrow(_matches(length, gram), "doc_id long, row_key long, start long, end long"), "spans"))
         if not large:
-            return spans
+            return reduce(DataFrame.unionByName, spans)
         # 4: halves of the windows' starts, told by how many bytes before the anchor they stand
         mid = ((F.col("near") + F.col("far")) / 2).cast("int")
         halves = F.array(F.struct(F.col("near").alias("lo"), mid.alias("hi")), F.struct((mid + 1).alias("lo"), F.col("far").alias("hi")))
@@ -358,8 +388,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
         split = stored(split.select("doc_id", "row_key", "pos", "n", "bytes", F.col("l").alias("left"), F.col("lo").alias("near"), F.col("hi").alias("far"),
                                     F.xxhash64("g", "lo", "hi", "core").alias("g"), F.xxhash64("bytes", "l", "r", F.lit(1)).alias("around")), "halves")
         counts = split.groupBy("g", "around").agg(F.sum("n").alias("total"), F.min(one).alias("first"))
-        both = split.join(counts, ["g", "around"])
-        spans = spans.unionByName(both.where("total > 1 and n = 1").select(
+        both = stored(split.join(counts, ["g", "around"]), "both")
+        spans.append(both.where("total > 1 and n = 1").select(
             "doc_id", "row_key", (F.col("pos") - F.col("left")).alias("start"),
             (F.col("pos") - F.col("left") + F.length("bytes")).alias("end")))
         level = stored(both.where(one.eqNullSafe(F.col("first"))).drop("n", "first").withColumnRenamed("total", "n")
@@ -382,12 +412,13 @@ def _cut(texts: list[bytes], spans: list[list[dict] | None]) -> Iterator[tuple[b
         yield left, len(t) - len(left), runs
 
 
-def _with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``docs`` (with ``doc_id, row_key``) and the list of its spans; a document has at most a span
-    per anchor and partner group."""
-    own = spans.distinct().groupBy("doc_id", "row_key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    own = own.withColumnsRenamed({"doc_id": "own_id", "row_key": "own_key"})
-    return docs.join(own, docs["doc_id"].eqNullSafe(own["own_id"]) & (docs["row_key"] == own["own_key"]), "left").drop("own_id", "own_key")
+def _with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``row`` (all columns of ``docs``) and ``spans`` of each row; a document has at most a span per
+    anchor and partner group."""
+    spans = spans.groupBy("doc_id", "row_key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = spans.withColumnsRenamed({"doc_id": "own_id", "row_key": "own_key"})
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), _row_key(id_col, text_col))
+    return rows.join(spans, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("row_key") == F.col("own_key")), "left").select("row", "spans")
 
 
 def repeat_digest(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -403,8 +434,9 @@ def repeat_digest(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id")[rows], *columns],
                                                  ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    found = _with_spans(_keyed(docs, id_col, text_col), repeated_spans(docs, length, id_col=id_col, text_col=text_col))
-    return found.select("doc_id", "text", "spans").mapInArrow(
+    plain = document_columns(docs, id_col, text_col)
+    found = _with_spans(plain, repeated_spans(plain, length), "doc_id", "text")
+    return found.select("row.doc_id", "row.text", "spans").mapInArrow(
         work, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -415,18 +447,15 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(text_col).cast(pa.binary()).to_pylist()
-            left = [None if t is None else next(_cut([t], [s]))[0].decode("utf-8", "ignore")
+            columns = batch.column("row").flatten()
+            texts = columns[at].cast(pa.binary()).to_pylist()
+            left = [t if t is None or not s else next(_cut([t], [s]))[0].decode("utf-8", "ignore").encode()
                     for t, s in zip(texts, batch.column("spans").to_pylist())]
-            columns = batch.columns[:-1]
-            columns[at] = pa.array(left, pa.string())
+            columns[at] = pa.array(left, pa.binary()).cast(columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     spans = repeated_spans(docs, length, id_col=id_col, text_col=text_col)
-    spans = spans.distinct().groupBy("doc_id", "row_key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    spans = spans.withColumnsRenamed({"doc_id": "own_id", "row_key": "own_key"})
-    same = F.col(id_col).cast("long").eqNullSafe(spans["own_id"]) & (_row_key(id_col, text_col) == spans["own_key"])
-    return docs.join(spans, same, "left").select(*[docs[c] for c in docs.columns], "spans").mapInArrow(work, schema)
+    return _with_spans(docs, spans, id_col, text_col).mapInArrow(work, schema)
 
 
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
