@@ -1,19 +1,17 @@
 """Category indexing, feature assembly and the fitted feature stages.
 
 ``frequency_index`` computes the frequency-ranked index of every category column
-as a distributed table (one scan for all columns); ``fit_feature_stages`` fits
-Spark ML's multi-column ``StringIndexer`` (one aggregation job for all 14
-columns instead of 14 separate fits), the label indexer and the assembler.
-Both give the same order: count descending, ties alphabetical, unseen or null
-values in the extra last ("keep") bucket.
+as a distributed table (one scan for all columns): count descending, ties
+alphabetical, unseen or null values in the extra last ("keep") bucket.
+``operators/models.fit_feature_model`` turns it into fitted indexer stages.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,17 +51,6 @@ def index_name(c: str) -> str:
     return f"{c}_index"
 
 
-def category_indexer(cols: Sequence[str] = K.CATEGORY_COLUMNS) -> StringIndexer:
-    """One multi-column indexer (frequency order, unseen/null -> keep bucket)."""
-    return StringIndexer(inputCols=list(cols), outputCols=[index_name(c) for c in cols],
-                         handleInvalid="keep", stringOrderType="frequencyDesc")
-
-
-def label_indexer(target: str = K.TARGET, label_col: str = "label") -> StringIndexer:
-    return StringIndexer(inputCol=target, outputCol=label_col, handleInvalid="keep",
-                         stringOrderType="frequencyDesc")
-
-
 def feature_assembler(features: Sequence[str] = K.FEATURES, out: str = "features",
                       handle_invalid: str = "error") -> VectorAssembler:
     """17 features in fixed order. ``handle_invalid='skip'`` drops rows with a
@@ -71,14 +58,6 @@ def feature_assembler(features: Sequence[str] = K.FEATURES, out: str = "features
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid=handle_invalid)
 
 
-def fit_feature_stages(train: DataFrame, cols: Sequence[str] = K.CATEGORY_COLUMNS,
-                       target: str = K.TARGET) -> PipelineModel:
-    """Fit indexers on the training rows only and return the fitted stages
-    (indexers + assembler) as one ``PipelineModel``."""
-    return Pipeline(stages=[category_indexer(cols), label_indexer(target),
-                            feature_assembler()]).fit(train)
-
-
 def fitted_labels(model: PipelineModel) -> dict[str, list[str]]:
     """Labels per indexed output column, from single- or multi-column indexers."""
     out: dict[str, list[str]] = {}
@@ -92,17 +71,9 @@ def fitted_labels(model: PipelineModel) -> dict[str, list[str]]:
     return out
 
 
-def category_sizes(model: PipelineModel, label_col: str = "label") -> dict[str, int]:
-    """Number of categories (labels + keep bucket) per indexed feature column."""
-    return {c: len(v) + 1 for c, v in fitted_labels(model).items() if c != label_col}
-
-
-def max_bins_for(model: PipelineModel, floor: int = 32) -> int:
-    """Smallest valid ``maxBins``: every categorical feature needs one bin per
-    category. The original fixed 6700 (its largest category count); sizing it
-    from the fitted indexers keeps the histogram memory proportional to the data."""
-    sizes = category_sizes(model)
-    return max([floor] + list(sizes.values()))
+def label_counts(model: PipelineModel, label_col: str = "label") -> dict[str, int]:
+    """Number of labels per indexed feature column."""
+    return {c: len(v) for c, v in fitted_labels(model).items() if c != label_col}
 
 
 def label_names(model: PipelineModel, label_col: str = "label") -> list[str]:

@@ -2,9 +2,10 @@
 
 Training is Spark ML (level-wise distributed histogram aggregation). Histogram
 memory per node is features x bins x classes, so ``maxBins`` is sized from the
-fitted category counts instead of a fixed 6700, and category columns with more
-values than ``max_categorical`` are fed as ordered numeric features (their
-frequency rank) rather than dropped, which bounds tree memory at any scale.
+fitted category counts (up to the original's 6700). A category column with more
+values than that is an error that names it; the caller may list it as
+``ordered``, which feeds its frequency rank as an ordered number. A column never
+changes its meaning because the data grew.
 
 Evaluation is computed from the (label, prediction) confusion table with
 DataFrame aggregations: the confusion table has at most classes^2 rows, so the
@@ -23,39 +24,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeflow import constants as K
-from citeflow.operators.features import (category_sizes, feature_assembler, frequency_index,
-                                         index_name, label_names)
+from citeflow.operators.features import (feature_assembler, frequency_index, index_name,
+                                         label_counts, label_names)
 from citeflow.session import scratch_path
 
-DEFAULT_MAX_CATEGORICAL = K.MAX_BINS
-
 
 def fit_feature_model(train: DataFrame, cols: Sequence[str] = K.CATEGORY_COLUMNS,
                       target: str = K.TARGET,
-                      max_categorical: int = DEFAULT_MAX_CATEGORICAL,
+                      ordered: Sequence[str] = (), most_bins: int = K.MAX_BINS,
                       index_path: str | None = None) -> PipelineModel:
     """Fit the category indices on training rows; assemble the 17 features.
 
     One distributed frequency-index job covers every column; the table is
-    written to the shared folder. Columns with at most ``max_categorical``
-    values become a ``StringIndexerModel`` built from their labels (nominal
-    metadata, so trees split them as categories; identical to fitting a
-    ``StringIndexer``, without a second pass). Wider columns are indexed by a
-    join against the stored table inside a ``SQLTransformer`` (a standard,
-    saveable stage): their labels never pass through the driver, and the tree
-    sees their frequency rank as an ordered feature. Unseen or null values get
-    the extra last index in both cases.
+    written to the shared folder. Columns become a ``StringIndexerModel`` built
+    from their labels (nominal metadata, so trees split them as categories;
+    identical to fitting a ``StringIndexer``, without a second pass); with the
+    bucket for unseen values a column may have ``most_bins`` categories, and one
+    with more raises. Columns listed as ``ordered`` are indexed by a join
+    against the stored table inside a ``SQLTransformer`` (a standard, saveable
+    stage, see ``sources.models.save_model``): their labels never pass through
+    the driver, and the tree sees their frequency rank as an ordered feature.
+    Unseen or null values get the extra last index in both cases.
     """
     spark = train.sparkSession
     path = index_path or scratch_path(spark, "category-index")
     frequency_index(train, list(cols) + [target]).write.mode("overwrite").parquet(path)
     table = spark.read.parquet(path)
     sizes = {r["column_name"]: r["count"] for r in table.groupBy("column_name").count().collect()}
-    narrow = [c for c in cols if sizes.get(c, 0) <= max_categorical]
-    wide = [c for c in cols if c not in narrow]
-    if sizes.get(target, 0) > max_categorical:
-        raise ValueError(f"target {target} has {sizes[target]} classes")
-    # labels of the narrow columns and the target: at most max_categorical per column
+    narrow = [c for c in cols if c not in ordered]
+    wide = [c for c in cols if c in ordered]
+    for c in [*narrow, target]:
+        if categories(sizes.get(c, 0)) > most_bins:
+            raise ValueError(f"column {c} has {sizes[c]} values, more than {most_bins} categories with "
+                             "the one for unseen values; list it in `ordered` or raise `most_bins`")
+    # labels of the nominal columns and the target: fewer than most_bins per column
     labels: dict[str, list] = {c: [] for c in narrow + [target]}
     for r in (table.where(F.col("column_name").isin(narrow + [target]))
               .orderBy("column_name", "idx").collect()):
@@ -90,26 +92,28 @@ def fit_feature_model(train: DataFrame, cols: Sequence[str] = K.CATEGORY_COLUMNS
     return PipelineModel(stages=stages + [feature_assembler(K.FEATURES)])
 
 
-def max_bins(feature_model: PipelineModel, max_categorical: int = DEFAULT_MAX_CATEGORICAL,
-             floor: int = 32) -> int:
-    sizes = [s for s in category_sizes(feature_model).values() if s <= max_categorical]
-    return max([floor] + sizes)
+def categories(labels: int) -> int:
+    """Categories of a nominal column: its labels and the bucket for unseen values."""
+    return labels + 1
+
+
+def max_bins(feature_model: PipelineModel, floor: int = 32) -> int:
+    """One bin per category of the widest nominal column."""
+    return max([floor] + [categories(n) for n in label_counts(feature_model).values()])
 
 
 def forest(feature_model: PipelineModel, num_trees: int = K.FOREST_TREES,
-           max_depth: int = K.TREE_DEPTH, seed: int = 42, max_memory_mb: int = 128,
-           max_categorical: int = DEFAULT_MAX_CATEGORICAL) -> RandomForestClassifier:
+           max_depth: int = K.TREE_DEPTH, seed: int = 42, max_memory_mb: int = 128) -> RandomForestClassifier:
     """Forest with the original settings (gini, auto subset, bootstrap)."""
     return RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=num_trees,
-                                  maxDepth=max_depth, maxBins=max_bins(feature_model, max_categorical),
+                                  maxDepth=max_depth, maxBins=max_bins(feature_model),
                                   seed=seed, maxMemoryInMB=max_memory_mb)
 
 
 def tree(feature_model: PipelineModel, max_depth: int = K.TREE_DEPTH, seed: int = 42,
-         max_memory_mb: int = 128,
-         max_categorical: int = DEFAULT_MAX_CATEGORICAL) -> DecisionTreeClassifier:
+         max_memory_mb: int = 128) -> DecisionTreeClassifier:
     return DecisionTreeClassifier(labelCol="label", featuresCol="features", maxDepth=max_depth,
-                                  maxBins=max_bins(feature_model, max_categorical), seed=seed,
+                                  maxBins=max_bins(feature_model), seed=seed,
                                   maxMemoryInMB=max_memory_mb)
 
 

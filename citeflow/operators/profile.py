@@ -47,25 +47,34 @@ def _stack(pairs: Sequence[tuple[str, list]], names: Sequence[str]) -> str:
 
 
 def describe_stats(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
-    """count, mean, sample stddev, min, max per numeric column, in long form.
+    """count, mean, sample stddev, min, max per column, in long form.
 
-    One aggregation over all columns at once (the built-in ``describe`` returns
-    strings in a wide layout); ``stack`` then turns the single row into one row
-    per column. Floating results are rounded to ``digits``.
+    Text columns have no mean and stddev; their min and max are in ``min_text`` and
+    ``max_text``, those of numeric columns in ``min`` and ``max``. One aggregation over all
+    columns at once (the built-in ``describe`` returns strings in a wide layout);
+    ``stack`` then turns the single row into one row per column. Floating results are
+    rounded to ``digits``.
     """
-    cols = list(cols) if cols is not None else _numeric_columns(df)
-    aggs = []
+    numeric = set(_numeric_columns(df))
+    cols = list(cols) if cols is not None else df.columns
+    aggs, pairs = [], []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    wide = df.agg(*aggs)
-    pairs = [(c, [f"n{i}", f"m{i}", f"s{i}", f"lo{i}", f"hi{i}"]) for i, c in enumerate(cols)]
-    long = wide.selectExpr(_stack(pairs, ["column_name", "n", "mean", "stddev", "min", "max"]))
+        if c in numeric:
+            x = F.col(c).cast("double")
+            aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
+                     F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+            pairs.append((c, [f"n{i}", f"m{i}", f"s{i}", f"lo{i}", f"hi{i}", "cast(null as string)", "cast(null as string)"]))
+        else:
+            x = F.col(c).cast("string")
+            aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+            none = ["cast(null as double)"] * 4
+            pairs.append((c, [f"n{i}", *none, f"lo{i}", f"hi{i}"]))
+    names = ["column_name", "n", "mean", "stddev", "min", "max", "min_text", "max_text"]
+    long = df.agg(*aggs).selectExpr(_stack(pairs, names))
     return long.select(
         "column_name", F.col("n").alias("count"),
         F.round("mean", digits).alias("mean"), F.round("stddev", digits).alias("stddev"),
-        F.col("min"), F.col("max"))
+        "min", "max", "min_text", "max_text")
 
 
 def _missing_condition(df: DataFrame, c: str):
@@ -103,14 +112,13 @@ def column_corr(df: DataFrame, a: str, b: str, nulls_as_zero: bool = True,
 
 
 def schema_table(df: DataFrame) -> DataFrame:
-    """(position, column_name, data_type, n_columns) of a DataFrame's schema.
-
-    Built from analysed-plan metadata: one row per column, never per data row.
-    """
-    rows = [(i + 1, f.name, f.dataType.simpleString(), len(df.columns))
-            for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(
-        rows, "position int, column_name string, data_type string, n_columns int")
+    """(position, column_name, data_type, n_columns, n_rows): a table's columns beside its size,
+    one row per column from one counting pass."""
+    n = len(df.columns)
+    cells = ", ".join(f"{i}, '{f.name}', '{f.dataType.simpleString()}', {n}, n_rows"
+                      for i, f in enumerate(df.schema.fields, 1))
+    return row_count(df, "n_rows").selectExpr(
+        f"stack({n}, {cells}) as (position, column_name, data_type, n_columns, n_rows)")
 
 
 def missing_fraction(df: DataFrame, digits: int = 6) -> DataFrame:

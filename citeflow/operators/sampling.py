@@ -28,16 +28,26 @@ TREE_TOPK_CANDIDATES = 1_000_000
 
 
 def task_estimate(df: DataFrame) -> int:
-    """Tasks feeding a final merge, estimated without running anything: at least
-    one per input file and one per core. (``df.rdd.getNumPartitions()`` would be
-    exact, but on a plan with a shuffle adaptive execution runs the shuffle
-    stages to answer it, computing the input twice.)"""
+    """Tasks feeding a final merge, estimated from the optimizer's size of the input without
+    running or listing anything: its bytes over ``maxPartitionBytes``, at least one per core.
+    (``df.rdd.getNumPartitions()`` would be exact, but on a plan with a shuffle adaptive
+    execution runs the shuffle stages to answer it, computing the input twice.)"""
+    spark = df.sparkSession
     try:
-        return max(len(df.inputFiles()), df.sparkSession.sparkContext.defaultParallelism)
-    except Exception:  # noqa: BLE001 - no context access (e.g. Spark Connect)
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        split = split_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+        return max(-(-size // split), spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no plan access (e.g. Spark Connect)
         return 1
 
 
+def split_bytes(size: str) -> int:
+    """A byte setting such as ``128m`` or ``134217728b``."""
+    units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    size = size.strip().lower().removesuffix("b") or "0"
+    return int(size[:-1]) * units[size[-1]] if size[-1] in units else int(size)
+
+
 def ordered_limit(df: DataFrame, k: int, order: Sequence[Column | str],
                   tree_above: int = TREE_TOPK_CANDIDATES) -> DataFrame:
     """``df.orderBy(*order).limit(k)`` whose final merge stays bounded at any scale."""
@@ -81,7 +91,8 @@ def key_split(df: DataFrame, key: Column | str, buckets: int = 5, test_buckets:
     different partitioning). With ``split_col`` returns one DataFrame with a
     'train'/'test' label instead of a pair."""
     k = F.col(key) if isinstance(key, str) else key
-    is_test = F.pmod(k, F.lit(buckets)) < F.lit(test_buckets)
+    # a null key is on the training side in both forms
+    is_test = F.coalesce(F.pmod(k, F.lit(buckets)) < F.lit(test_buckets), F.lit(False))
     if split_col:
         return df.withColumn(split_col, F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
     return df.where(~is_test), df.where(is_test)

@@ -36,7 +36,7 @@ _CACHE: dict[tuple, Fitted] = {}
 
 def split_key():
     """Order key of a citation (summons_number = order key * 10 + line number)."""
-    return F.floor(F.col("summons_number") / 10)
+    return F.expr("summons_number div 10")
 
 
 def keyed_clean(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,6 +21,7 @@ from citeflow.operators.clean import CleanOptions, cleaning_stages
 from citeflow.operators.features import frequency_index
 from citeflow.operators.filters import drop_sentinels, dropna_any, dropna_subset
 from citeflow.operators.sampling import key_split, limit_stable, top_k
+from citeflow.plans.batch_job import split_key
 from citeflow.plans.oracles import with_stages
 from citeflow.session import scratch_path
 from citeflow.sources import messages as M
@@ -72,11 +73,6 @@ def cleaned_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stages(spark, sf_dir, keep=("summons_number",))["cleaned"]
 
 
-def split_key():
-    """Order key of a citation: summons_number = order key * 10 + line number."""
-    return F.floor(F.col("summons_number") / 10)
-
-
 SPLIT_SQL = "(summons_number // 10) % 5"
 
 STRING_COLS = ["registration_state", "plate_type", "issue_date", "vehicle_body_type", "vehicle_make",
@@ -115,11 +111,16 @@ def q_csv_sink(spark, sf_dir):
 
 
 @register("publish_json", with_stages("cleaned", "SELECT " + ", ".join(
-    f"CAST({c} AS VARCHAR) AS {c}" for c in K.CLEANED_COLUMNS) + " FROM cleaned"))
+    f"CAST({c} AS VARCHAR) AS {c}" for c in K.CLEANED_COLUMNS) + ", CAST(violation_county AS VARCHAR) AS key_county, true AS key_is_value FROM cleaned"))
 def q_publish_json(spark, sf_dir):
-    """Rows -> JSON messages (every value as text, key = value) -> parsed back."""
+    """Rows -> JSON messages (every value as text, key = value) -> parsed back, with the message
+    key beside them. The value goes through binary, as a broker delivers it."""
     msgs = M.to_messages(cleaned(spark, sf_dir))
-    return M.parse_messages(msgs, K.CLEANED_COLUMNS)
+    msgs = msgs.select("key", F.col("value").cast("binary").alias("value"))
+    county = F.get_json_object("key", "$.violation_county").alias("key_county")
+    parsed = M.parse_messages(msgs.select("value", county, (F.col("key") == F.col("value").cast("string")).alias("key_is_value")),
+                              K.CLEANED_COLUMNS, keep=["key_county", "key_is_value"])
+    return parsed
 
 
 # ---------------------------------------------------------------- projections
@@ -313,14 +314,19 @@ for _suffix, _stage, _col in VALUE_SHARES:
     register(f"value_share_{_suffix}", _share_sql(_stage, _col))(_share_query(_stage, _col))
 
 
+def _describe_sql(c: str) -> str:
+    if c in NUMERIC_CLEANED:
+        x = f"CAST({c} AS DOUBLE)"
+        return (f"SELECT '{c}' AS column_name, count({c}) AS count, round(avg({x}), 6) AS mean, round(stddev_samp({x}), 6) AS stddev, "
+                f"min({x}) AS min, max({x}) AS max, CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text FROM cleaned")
+    return (f"SELECT '{c}', count({c}), NULL, NULL, NULL, NULL, min(CAST({c} AS VARCHAR)), max(CAST({c} AS VARCHAR)) FROM cleaned")
+
+
 @register("describe_stats", with_stages("cleaned", "\nUNION ALL\n".join(
-    f"""SELECT '{c}' AS column_name, count({c}) AS count,
-               round(avg(CAST({c} AS DOUBLE)), 6) AS mean,
-               round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS stddev,
-               min(CAST({c} AS DOUBLE)) AS min, max(CAST({c} AS DOUBLE)) AS max FROM cleaned"""
-    for c in NUMERIC_CLEANED)))
+    _describe_sql(c) for c in sorted(K.CLEANED_COLUMNS, key=lambda c: c not in NUMERIC_CLEANED))))
 def q_describe_stats(spark, sf_dir):
-    return P.describe_stats(cleaned(spark, sf_dir), NUMERIC_CLEANED)
+    """All 18 cleaned columns, numbers and text."""
+    return P.describe_stats(cleaned(spark, sf_dir))
 
 
 def _audit_sql(c: str) -> str:
@@ -359,7 +365,7 @@ def q_column_corr_pairwise(spark, sf_dir):
            CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
                 WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' ELSE lower(column_type) END
              AS data_type,
-           CAST(count(*) OVER () AS INTEGER) AS n_columns
+           CAST(count(*) OVER () AS INTEGER) AS n_columns, (SELECT count(*) FROM cleaned) AS n_rows
     FROM (DESCRIBE SELECT * FROM cleaned)"""))
 def q_schema_table(spark, sf_dir):
     return P.schema_table(cleaned(spark, sf_dir))
@@ -406,39 +412,39 @@ def q_split_train_test(spark, sf_dir):
 def _index_sql(cols, stage="cleaned_keyed") -> str:
     unions = "\nUNION ALL\n".join(
         f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n "
-        f"FROM {stage} WHERE {SPLIT_SQL} >= 1 AND {c} IS NOT NULL GROUP BY {c}" for c in cols)
+        f"FROM {stage} WHERE {c} IS NOT NULL GROUP BY {c}" for c in cols)
     return with_stages(stage, f"""
         SELECT column_name, value, n,
                CAST(row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) - 1 AS DOUBLE) AS idx
         FROM ({unions})""")
 
 
-def _train(spark, sf_dir):
-    """Training rows of the written cleaned table (model building starts from the
-    processed table, as in the original; it also keeps the optimizer's work on the
-    index plan independent of how the raw columns were derived)."""
-    from citeflow.plans.batch_job import train_test
-    train, _ = train_test(spark, sf_dir)
-    return train
+def _whole(spark, sf_dir):
+    """All rows of the written cleaned table (model building starts from the processed
+    table, as in the original; it also keeps the optimizer's work on the index plan
+    independent of how the raw columns were derived)."""
+    from citeflow.plans.batch_job import materialized_clean
+    return materialized_clean(spark, sf_dir)
 
 
 @register("category_index", _index_sql(K.CATEGORY_COLUMNS))
 def q_category_index(spark, sf_dir):
-    """Frequency-ranked index of the 14 category columns, fitted on training rows."""
-    return frequency_index(_train(spark, sf_dir), K.CATEGORY_COLUMNS)
+    """Frequency-ranked index of the 14 category columns over all cleaned rows."""
+    return frequency_index(_whole(spark, sf_dir), K.CATEGORY_COLUMNS)
 
 
 @register("label_index", _index_sql([K.TARGET]))
 def q_label_index(spark, sf_dir):
-    return frequency_index(_train(spark, sf_dir), [K.TARGET])
+    return frequency_index(_whole(spark, sf_dir), [K.TARGET])
 
 
 # ---------------------------------------------------------------- features and models
 
-def _index_join_sql(columns: str | None = None, tail: str = "") -> str:
-    """Test rows with every category replaced by its train-fitted index
-    (unseen -> number of labels), plus the label index: the assembled features.
-    ``columns`` overrides the output list; ``tail`` appends ORDER BY / LIMIT."""
+def _index_join_sql(columns: str | None = None, tail: str = "", fit: str = "true", rows: str = "true") -> str:
+    """Rows with every category replaced by its fitted index (unseen -> number of labels),
+    plus the label index: the assembled features. ``fit`` and ``rows`` tell which rows the
+    index is fitted on and applied to; ``columns`` overrides the output list; ``tail``
+    appends ORDER BY / LIMIT."""
     joins, feats = [], []
     for i, c in enumerate(K.CATEGORY_COLUMNS + [K.TARGET]):
         joins.append(f"LEFT JOIN (SELECT value, idx FROM ix WHERE column_name = '{c}') j{i} "
@@ -447,16 +453,19 @@ def _index_join_sql(columns: str | None = None, tail: str = "") -> str:
         feats.append(f"coalesce(j{i}.idx, CAST((SELECT count(*) FROM ix WHERE column_name = '{c}') "
                      f"AS DOUBLE)) AS {out}")
     inner = (f"SELECT t.summons_number, t.month, t.day, t.time_hour, {', '.join(feats)} "
-             f"FROM (SELECT * FROM cleaned_keyed WHERE {SPLIT_SQL} < 1) t " + " ".join(joins))
+             f"FROM (SELECT * FROM cleaned_keyed WHERE {rows}) t " + " ".join(joins))
     body = f"SELECT {columns or '*'} FROM ({inner}) {tail}"
-    return with_stages("cleaned_keyed", f", ix AS ({_index_body()})\n{body}")
+    return with_stages("cleaned_keyed", f", ix AS ({_index_body(fit)})\n{body}")
 
 
-def _index_body() -> str:
+TRAIN_SQL, TEST_SQL = f"{SPLIT_SQL} >= 1", f"{SPLIT_SQL} < 1"
+
+
+def _index_body(fit: str = "true") -> str:
     cols = K.CATEGORY_COLUMNS + [K.TARGET]
     unions = "\nUNION ALL\n".join(
         f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n "
-        f"FROM cleaned_keyed WHERE {SPLIT_SQL} >= 1 AND {c} IS NOT NULL GROUP BY {c}" for c in cols)
+        f"FROM cleaned_keyed WHERE {fit} AND {c} IS NOT NULL GROUP BY {c}" for c in cols)
     return (f"SELECT column_name, value, n, CAST(row_number() OVER (PARTITION BY column_name "
             f"ORDER BY n DESC, value) - 1 AS DOUBLE) AS idx FROM ({unions})")
 
@@ -466,6 +475,18 @@ def _fitted(spark, sf_dir):
     return fit_all(spark, sf_dir)
 
 
+def _whole_features(spark, sf_dir):
+    """Feature stages fitted on all cleaned rows, once per session and input."""
+    from citeflow.operators.models import fit_feature_model
+    key = (spark.sparkContext.applicationId, sf_dir, "features")
+    if key not in _FEATURES:
+        _FEATURES[key] = fit_feature_model(_whole(spark, sf_dir))
+    return _FEATURES[key]
+
+
+_FEATURES: dict[tuple, object] = {}
+
+
 def _feature_columns(df: DataFrame) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
     arr = vector_to_array("features")
@@ -475,9 +496,8 @@ def _feature_columns(df: DataFrame) -> DataFrame:
 
 @register("assemble_features", _index_join_sql())
 def q_assemble_features(spark, sf_dir):
-    """Test rows through the train-fitted indexers and the 17-slot assembler."""
-    f = _fitted(spark, sf_dir)
-    return _feature_columns(f.features.transform(f.test))
+    """All cleaned rows through the fitted indexers and the 17-slot assembler."""
+    return _feature_columns(_whole_features(spark, sf_dir).transform(_whole(spark, sf_dir)))
 
 
 @register("decode_labels", with_stages("cleaned_keyed", f""", lbl AS ({_index_body()})
@@ -489,9 +509,8 @@ def q_decode_labels(spark, sf_dir):
     """Every class index (incl. the keep bucket) decoded through the fitted labels."""
     from citeflow.functions.text import decode_label
     from citeflow.operators.features import label_names
-    f = _fitted(spark, sf_dir)
-    labels = label_names(f.forest)
-    idx = frequency_index(f.train, [K.TARGET]).select("idx")
+    labels = label_names(_whole_features(spark, sf_dir))
+    idx = frequency_index(_whole(spark, sf_dir), [K.TARGET]).select("idx")
     keep = spark.range(1).select(F.lit(float(len(labels))).alias("idx"))
     return idx.unionByName(keep).select("idx", decode_label("idx", labels).alias("label"))
 
@@ -507,9 +526,9 @@ INDEX_COLUMNS = [f"{c}_index" for c in K.CATEGORY_COLUMNS]
 
 @register("fit_features", _index_join_sql("summons_number, " + ", ".join(INDEX_COLUMNS) + ", label"))
 def q_fit_features(spark, sf_dir):
-    """Fitted feature stages applied to test rows: the 14 category indices and the label."""
-    f = _fitted(spark, sf_dir)
-    return f.features.transform(f.test).select("summons_number", *INDEX_COLUMNS, "label")
+    """Fitted feature stages applied to all cleaned rows: the 14 category indices and the label."""
+    rows = _whole_features(spark, sf_dir).transform(_whole(spark, sf_dir))
+    return rows.select("summons_number", *INDEX_COLUMNS, "label")
 
 
 @register("train_forest")
@@ -524,6 +543,66 @@ def q_train_tree(spark, sf_dir):
     return _predictions(f.tree, f.test)
 
 
+def _county_rank(where: str = "true") -> str:
+    return (f"SELECT CAST({K.TARGET} AS VARCHAR) AS county, CAST(row_number() OVER (ORDER BY count(*) DESC, {K.TARGET}) - 1 AS DOUBLE) AS label "
+            f"FROM cleaned_keyed WHERE {where} GROUP BY {K.TARGET}")
+
+
+# a tree that may split on the hour alone, down to single hours, predicts the most
+# frequent class of each hour, ties to the class with the smaller index
+_BY_HOUR_SQL = with_stages("cleaned_keyed", f""", lbl AS ({_county_rank(TRAIN_SQL)}),
+    votes AS (SELECT c.time_hour, l.label, count(*) AS n FROM cleaned_keyed c JOIN lbl l ON c.{K.TARGET} = l.county
+              WHERE {TRAIN_SQL} GROUP BY ALL),
+    best AS (SELECT time_hour, label AS prediction FROM (SELECT *, row_number() OVER (PARTITION BY time_hour ORDER BY n DESC, label) AS r FROM votes) WHERE r = 1)
+    SELECT summons_number, c.time_hour, prediction FROM cleaned_keyed c JOIN best b ON c.time_hour = b.time_hour WHERE {TEST_SQL}""")
+
+
+def _by_hour(spark, sf_dir, estimator):
+    """Test rows predicted by a classifier fitted on the training rows' hour alone."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from citeflow.plans.batch_job import train_test
+    train, test = train_test(spark, sf_dir)
+    stages = [StringIndexer(inputCol=K.TARGET, outputCol="label", stringOrderType="frequencyDesc"),
+              VectorAssembler(inputCols=["time_hour"], outputCol="features"), estimator]
+    fitted = Pipeline(stages=stages).fit(train.select("time_hour", K.TARGET))
+    from pyspark.ml import PipelineModel
+    return PipelineModel(stages=fitted.stages[1:]).transform(test).select("summons_number", "time_hour", "prediction")
+
+
+@register("tree_by_hour", _BY_HOUR_SQL)
+def q_tree_by_hour(spark, sf_dir):
+    """Decision tree over one continuous feature, deep enough to isolate every hour."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+    return _by_hour(spark, sf_dir, DecisionTreeClassifier(maxDepth=13, seed=42))
+
+
+@register("forest_by_hour", _BY_HOUR_SQL)
+def q_forest_by_hour(spark, sf_dir):
+    """Forest without bootstrap over the same feature: every tree is that tree."""
+    from pyspark.ml.classification import RandomForestClassifier
+    return _by_hour(spark, sf_dir, RandomForestClassifier(maxDepth=13, numTrees=3, bootstrap=False,
+                                                          featureSubsetStrategy="all", seed=42))
+
+
+@register("classification_metrics", with_stages("cleaned_keyed", f""", lbl AS ({_county_rank()}),
+    pred AS (SELECT l.label AS y, CAST(c.time_hour % 7 AS DOUBLE) AS p FROM cleaned_keyed c JOIN lbl l ON c.{K.TARGET} = l.county),
+    per AS (SELECT y, count(*) AS actual, count(*) FILTER (WHERE p = y) AS tp FROM pred GROUP BY y),
+    got AS (SELECT p, count(*) AS predicted FROM pred GROUP BY p),
+    q AS (SELECT actual, tp, CASE WHEN coalesce(predicted, 0) > 0 THEN CAST(tp AS DOUBLE) / predicted ELSE 0 END AS pr, CAST(tp AS DOUBLE) / actual AS rc
+          FROM per LEFT JOIN got ON per.y = got.p),
+    m AS (SELECT sum(tp) * 1.0 / sum(actual) AS accuracy, sum(pr * actual) / sum(actual) AS wp, sum(rc * actual) / sum(actual) AS wr,
+                 sum((CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0 END) * actual) / sum(actual) AS f1 FROM q),
+    t AS (SELECT 'f1' AS metric, f1 AS v FROM m UNION ALL SELECT 'accuracy', accuracy FROM m
+          UNION ALL SELECT 'weightedPrecision', wp FROM m UNION ALL SELECT 'weightedRecall', wr FROM m)
+    SELECT metric, round(v, 10) AS value, round(1.0 - v, 10) AS error FROM t"""))
+def q_classification_metrics(spark, sf_dir):
+    """Metrics of a prediction that SQL can write down: the hour modulo 7 against the county's index."""
+    from citeflow.operators.models import classification_metrics
+    rows = _whole_features(spark, sf_dir).transform(_whole(spark, sf_dir))
+    return classification_metrics(rows.select("label", (F.col("time_hour") % 7).cast("double").alias("prediction")))
+
+
 @register("batch_score")
 def q_batch_score(spark, sf_dir):
     """Forest scores for every cleaned row (train and test)."""
@@ -557,6 +636,35 @@ def q_model_roundtrip(spark, sf_dir):
     return _predictions(load_model(path), f.test)
 
 
+def _agreement(one: DataFrame, two: DataFrame, keys: list[str]) -> DataFrame:
+    """One row: rows of the first table, and rows by which the two tables differ (as bags)."""
+    both = one.select(*keys, F.lit(1).alias("one"), F.lit(0).alias("two")).unionByName(
+        two.select(*keys, F.lit(0).alias("one"), F.lit(1).alias("two")))
+    per = both.groupBy(*keys).agg(F.sum("one").alias("one"), F.sum("two").alias("two"))
+    return per.agg(F.sum("one").alias("n_rows"), F.sum(F.abs(F.col("one") - F.col("two"))).alias("mismatches"))
+
+
+_SAME_SQL = with_stages("cleaned_keyed", f"SELECT count(*) AS n_rows, 0 AS mismatches FROM cleaned_keyed WHERE {TEST_SQL}")
+
+
+@register("model_roundtrip_report", _SAME_SQL)
+def q_model_roundtrip_report(spark, sf_dir):
+    """Test rows scored by the fitted model and by its saved and reloaded copy."""
+    keys = ["summons_number", "label", "prediction", "p_target", "predicted_label"]
+    f = _fitted(spark, sf_dir)
+    return _agreement(_predictions(f.forest, f.test), q_model_roundtrip(spark, sf_dir), keys)
+
+
+@register("stream_batch_report", _SAME_SQL)
+def q_stream_batch_report(spark, sf_dir):
+    """The same messages scored as a stream and as a batch."""
+    from citeflow.streaming.scorer import score_messages
+    stream = q_stream_score(spark, sf_dir)
+    messages = M.to_messages(index_messages(spark, sf_dir), key=False)
+    batch = score_messages(messages, _fitted(spark, sf_dir).forest)
+    return _agreement(stream, batch, [*K.FEATURES, "prediction", "predicted_label"])
+
+
 @register("topk_probability")
 def q_topk_probability(spark, sf_dir):
     """Test rows with the highest class-1 probability (distributed top-k)."""
@@ -567,7 +675,8 @@ def q_topk_probability(spark, sf_dir):
 
 @register("sample_export", _index_join_sql(
     "summons_number, " + ", ".join(K.FEATURES),
-    "ORDER BY " + ", ".join(["summons_number"] + K.FEATURES) + f" LIMIT {K.SAMPLE_EXPORT_ROWS}"))
+    "ORDER BY " + ", ".join(["summons_number"] + K.FEATURES) + f" LIMIT {K.SAMPLE_EXPORT_ROWS}",
+    fit=TRAIN_SQL, rows=TEST_SQL))
 def q_sample_export(spark, sf_dir):
     """10,000 test rows with features as doubles, original text columns dropped,
     written as CSV and read back (the message source for the stream job)."""
@@ -594,7 +703,8 @@ def index_messages(spark, sf_dir):
     return rows.select(*[F.col(c) for c in K.FEATURES])
 
 
-STREAM_BATCHES = 2
+#: bytes of messages per micro-batch: a batch does not grow with the backlog
+STREAM_BATCH_BYTES = str(64 << 20)
 
 
 @register("stream_score")
@@ -602,21 +712,48 @@ def q_stream_score(spark, sf_dir):
     """File-stream source -> parse -> cast -> assemble -> forest -> label text ->
     Parquet sink with checkpoint, drained with an availableNow trigger.
 
-    The backlog (one message file per publishing task) is paced into
-    ``STREAM_BATCHES`` micro-batches: their number stays fixed as the data grows
-    and each one is a distributed job over its share of the files."""
+    The backlog is paced into micro-batches of ``STREAM_BATCH_BYTES`` of message files."""
     from citeflow.streaming.scorer import file_message_source, run_available_now, score_messages
     f = _fitted(spark, sf_dir)
     src = publish_messages(index_messages(spark, sf_dir), scratch_path(spark, "messages"))
-    n_files = len(spark.read.text(src).inputFiles())
-    per_trigger = max(1, -(-n_files // STREAM_BATCHES))
     sink, ckpt = scratch_path(spark, "scored"), scratch_path(spark, "scored-ckpt")
-    scored = score_messages(file_message_source(spark, src, max_files_per_trigger=per_trigger),
-                            f.forest)
+    scored = score_messages(file_message_source(spark, src, max_bytes_per_trigger=STREAM_BATCH_BYTES), f.forest)
     run_available_now(scored, sink, ckpt)
     return spark.read.parquet(sink)
 
 
+BAD_EVENT = "event_id % 10 = 3"
+
+
+@register("stream_invalid", f"""
+    SELECT CAST(event_id AS VARCHAR) AS key, CASE WHEN {BAD_EVENT} THEN 'bad' ELSE 'lacks a feature' END AS reason,
+           CASE WHEN {BAD_EVENT} THEN 'not json ' || CAST(event_id AS VARCHAR) END AS value
+    FROM events WHERE {BAD_EVENT} OR event_id % 10 = 7""")
+def q_stream_invalid(spark, sf_dir):
+    """Events as scoring messages, some of them broken or without a feature: what the stream's
+    second sink holds, by the messages' keys. (The first sink holds all the others.)"""
+    from citeflow.streaming.scorer import (file_message_source, finish, invalid_messages, score_messages,
+                                           start_sink)
+    f = _fitted(spark, sf_dir)
+    ev = read_table(spark, sf_dir, "events")
+    fields = [(F.col("event_id") % (i + 2)).cast("string").alias(c) for i, c in enumerate(K.FEATURES)]
+    lacking = F.to_json(F.struct(*fields[1:]))
+    value = (F.when(F.expr(BAD_EVENT), F.concat(F.lit("not json "), F.col("event_id").cast("string")))
+             .when(F.col("event_id") % 10 == 7, lacking).otherwise(F.to_json(F.struct(*fields))))
+    src = scratch_path(spark, "mixed-messages")
+    ev.select(F.to_json(F.struct(F.col("event_id").cast("string").alias("key"), value.alias("value"))).alias("line")).write.text(src)
+    source = file_message_source(spark, src, max_bytes_per_trigger=STREAM_BATCH_BYTES)
+    messages = source.select(F.from_json("value", "key string, value string").alias("m")).select("m.*")
+    good, bad = scratch_path(spark, "good"), scratch_path(spark, "bad")
+    finish([start_sink(score_messages(messages, f.forest, keep=["key"]), good, f"{good}-ckpt", available_now=True),
+            start_sink(invalid_messages(messages), bad, f"{bad}-ckpt", available_now=True)])
+    if spark.read.parquet(good).count() + spark.read.parquet(bad).count() != ev.count():
+        raise RuntimeError("the two sinks do not hold every message once")
+    broken = F.col("value").startswith("not json ")
+    return spark.read.parquet(bad).select("key", F.when(broken, "bad").otherwise("lacks a feature").alias("reason"),
+                                          F.when(broken, F.col("value")).alias("value"))
+
+
 @register("stream_scan", """
     SELECT event_id, user_id, event_type, value, ts,
            try_cast(json_extract_string(props, '$.k') AS BIGINT) AS k
@@ -645,24 +782,54 @@ def q_stream_scan(spark, sf_dir):
 RAW_FEATURES = K.NUMERIC + K.CATEGORY_COLUMNS
 
 
-def _explained_and_background(spark, sf_dir):
-    """The rows explained (first test rows by key) and the background sample
-    (first training rows by key); both sizes are the operator's parameters."""
+EXPLAINED_COLUMNS = ["summons_number", *K.CLEANED_COLUMNS]
+
+
+def _explained(spark, sf_dir):
+    """The first test rows by all columns: their number is the operator's parameter."""
     f = _fitted(spark, sf_dir)
-    explain = limit_stable(f.test, K.EXPLAIN_ROWS, ["summons_number"]) \
-        .withColumnRenamed("summons_number", "row_id")
-    background = limit_stable(f.train, K.BACKGROUND_ROWS, ["summons_number"]).select(*RAW_FEATURES)
-    return f, explain, background
+    return limit_stable(f.test.select(*EXPLAINED_COLUMNS), K.EXPLAIN_ROWS)
+
+
+#: coalitions of the registered run; the operator's default is the original's 50,000
+QUERY_COALITIONS = 1_800
 
 
 @register("shapley_attribution")
 def q_shapley_attribution(spark, sf_dir):
-    """Sampled Shapley values of the forest's class-1 probability for 5 rows,
-    100 background rows and 50,000 coalition samples per row."""
+    """Sampled Shapley values of the forest's class-1 probability for 5 rows: a run with 1,800
+    coalitions (``QUERY_COALITIONS``; the default is 50,000), each against all 100 background rows."""
     from citeflow.operators.attribution import attribution_table
-    f, explain, background = _explained_and_background(spark, sf_dir)
-    return attribution_table(f.forest, explain, background, RAW_FEATURES,
-                             samples=K.ATTRIBUTION_SAMPLES, n_background=K.BACKGROUND_ROWS)
+    f = _fitted(spark, sf_dir)
+    return attribution_table(f.forest, _explained(spark, sf_dir), f.train, RAW_FEATURES,
+                             coalitions=QUERY_COALITIONS, n_background=K.BACKGROUND_ROWS)
+
+
+#: weights of an additive score, whose Shapley values are w * (x - mean of the background)
+ADDITIVE = {"month": 0.25, "day": -1.5, "time_hour": 2.0}
+
+
+@register("shapley_additive", with_stages("cleaned_keyed", f""",
+    x AS (SELECT row_number() OVER (ORDER BY {_cols(EXPLAINED_COLUMNS)}) AS explained, * FROM
+          (SELECT {_cols(EXPLAINED_COLUMNS)} FROM cleaned_keyed WHERE {TEST_SQL} ORDER BY ALL LIMIT {K.EXPLAIN_ROWS})),
+    b AS (SELECT month, day, time_hour FROM cleaned_keyed WHERE {TRAIN_SQL} ORDER BY ALL LIMIT {K.BACKGROUND_ROWS}),
+    m AS (SELECT avg(month) AS month, avg(day) AS day, avg(time_hour) AS time_hour FROM b)
+    """ + " UNION ALL ".join(f"""
+    SELECT explained - 1 AS explained, summons_number, '{c}' AS feature, round({w} * (x.{c} - m.{c}) + 0.0, 6) + 0.0 AS phi FROM x, m"""
+                              for c, w in ADDITIVE.items())))
+def q_shapley_additive(spark, sf_dir):
+    """The same operator over an additive score of three features."""
+    from citeflow.operators.attribution import background_rows, shapley_values
+    from citeflow.operators.sampling import with_row_index
+    from citeflow.session import reliable_checkpoint
+    f = _fitted(spark, sf_dir)
+    rows = reliable_checkpoint(_explained(spark, sf_dir).orderBy(*EXPLAINED_COLUMNS))
+    rows = reliable_checkpoint(with_row_index(rows, "explained"))
+    score = sum((F.col(c) * w for c, w in ADDITIVE.items()), F.lit(0.0))
+    phi = shapley_values(lambda df: df.withColumn("v", score), rows, background_rows(f.train, list(ADDITIVE)),
+                         list(ADDITIVE), coalitions=400)
+    return (phi.join(rows.select("explained", "summons_number"), "explained")
+            .select("explained", "summons_number", "feature", (F.round("phi", 6) + 0.0).alias("phi")))
 
 
 # ---------------------------------------------------------------- synthesis
@@ -672,7 +839,20 @@ def _synth_source(spark, sf_dir):
     return materialized_clean(spark, sf_dir).select(*K.CLEANED_COLUMNS)
 
 
-@register("synthesize_rows")
+def _synth_sql(tail: str) -> str:
+    """The draws of ``operators/synthesis`` and the tuple that each falls on, for both batches."""
+    from citeflow.operators.synthesis import draw_sql
+    ctes = []
+    for i, cols in enumerate(K.BATCHES):
+        order = ", ".join(f"{c} NULLS FIRST" for c in cols)
+        ctes.append(f""", t{i} AS (SELECT {_cols(cols)}, n, sum(n) OVER (ORDER BY {order} ROWS UNBOUNDED PRECEDING) AS hi
+            FROM (SELECT {_cols(cols)}, count(*) AS n FROM cleaned GROUP BY ALL)),
+            d{i} AS (SELECT draw_id, {draw_sql('draw_id', i, 42)} % (SELECT sum(n) FROM t{i}) AS at FROM range({K.SYNTH_LINES}) r(draw_id)),
+            g{i} AS (SELECT d.draw_id, {_cols(cols)} FROM d{i} d JOIN t{i} t ON d.at >= t.hi - t.n AND d.at < t.hi)""")
+    return with_stages("cleaned", "".join(ctes) + "\n" + tail)
+
+
+@register("synthesize_rows", _synth_sql(f"SELECT g0.draw_id, {_cols(K.CLEANED_COLUMNS)} FROM g0 JOIN g1 ON g0.draw_id = g1.draw_id"))
 def q_synthesize_rows(spark, sf_dir):
     """2,000 look-alike rows learnt from the whole cleaned table in two column
     batches (joint within a batch, independent across batches)."""
@@ -680,7 +860,9 @@ def q_synthesize_rows(spark, sf_dir):
     return synthesize(_synth_source(spark, sf_dir), K.BATCHES, K.SYNTH_LINES, seed=42)
 
 
-@register("synth_quality")
+@register("synth_quality", _synth_sql(" UNION ALL ".join(
+    f"SELECT {i} AS batch, {K.SYNTH_LINES} AS requested, count(*) AS generated, count(*) AS valid, count(*) / {K.SYNTH_LINES}.0 AS valid_fraction FROM g{i}"
+    for i in range(len(K.BATCHES)))))
 def q_synth_quality(spark, sf_dir):
     """Per batch: requested, generated and valid lines."""
     from citeflow.operators.synthesis import batch_quality, synthesize

@@ -20,6 +20,14 @@ def resolve_path(path: str) -> str:
 _SPREAD: dict[tuple, str] = {}
 
 
+#: bytes per core up to which an under-split input is copied
+SPREAD_BYTES = 4 << 20
+
+
+def wants_copy(size: int, partitions: int, cores: int) -> bool:
+    return partitions < cores and size <= cores * SPREAD_BYTES
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give an under-split Parquet input (a bare scan or a projection of one) as many
     splits as the cluster has cores.
@@ -33,17 +41,18 @@ def spread(df: DataFrame) -> DataFrame:
     the shared checkpoint folder and read from there: later scans are parallel
     and keep column pruning and filter pushdown.
 
-    Scale bound: a splittable input has fewer splits than cores only while it is
-    smaller than cores x ``spark.sql.files.openCostInBytes`` (4 MB by default),
-    so the copy is at most a few MB per core. A large input (thousands of
-    splits) is returned untouched; no copy or shuffle is added at scale.
+    Scale bound: only an input of at most ``SPREAD_BYTES`` per core is copied (by its
+    size, not by its number of splits). A larger one is returned untouched; no
+    copy or shuffle is added at scale.
     """
     spark = df.sparkSession
     try:
         cores = spark.sparkContext.defaultParallelism
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
         # a bare scan (no exchange): planning its RDD runs no job
-        if df.rdd.getNumPartitions() >= cores:
+        if not wants_copy(size, df.rdd.getNumPartitions(), cores):
             return df
+        # few files: the input is small
         files = tuple(sorted(df.inputFiles()))
     except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
         return df
@@ -68,11 +77,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread_splits: bool
     return spread(df) if spread_splits else df
 
 
+KEEP_SPACE = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             infer_schema: bool = False, header: bool = True) -> DataFrame:
+             infer_schema: bool = False, header: bool = True, exact: bool = False) -> DataFrame:
     """CSV scan with a header. Prefer an explicit schema: inference costs an extra
-    full pass over the input before the real job starts."""
+    full pass over the input before the real job starts. ``exact`` keeps white space
+    at the ends of values and line breaks inside quotes (files are then not split),
+    as ``write_csv(exact=True)`` writes them; without, Spark's defaults hold, as in the
+    original."""
     reader = spark.read.option("header", str(header).lower())
+    if exact:
+        reader = reader.options(multiLine="true", escape='"', **KEEP_SPACE)
     if schema is not None:
         reader = reader.schema(schema)
     elif infer_schema:
@@ -95,13 +112,16 @@ def read_raw_export(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False,
-              header: bool = True) -> str:
+              header: bool = True, exact: bool = False) -> str:
     """CSV sink with a header. Parallel by default (one file per task). With
     ``single_file`` the cleaned result is repartitioned to one task *after* the
     clean, so the scan and clean keep their parallelism (a bare ``coalesce(1)``
     would pull the whole upstream stage into one task)."""
     out = df.repartition(1) if single_file else df
-    out.write.mode(mode).option("header", str(header).lower()).csv(resolve_path(path))
+    writer = out.write.mode(mode).option("header", str(header).lower())
+    if exact:
+        writer = writer.options(quoteAll="true", escape='"', **KEEP_SPACE)
+    writer.csv(resolve_path(path))
     return path
 
 

@@ -63,7 +63,7 @@ def test_wide_columns_indexed_by_join_match_string_indexer(spark, sf_small):
     from pyspark.ml.feature import StringIndexer
     from citeflow.operators.models import fit_feature_model
     f = fit_all(spark, sf_small, num_trees=5)
-    wide_model = fit_feature_model(f.train, max_categorical=20)
+    wide_model = fit_feature_model(f.train, ordered=["street_code1", "street_code2", "street_code3"])
     stages = [type(s).__name__ for s in wide_model.stages]
     assert "SQLTransformer" in stages
     ref = StringIndexer(inputCols=K.CATEGORY_COLUMNS,
@@ -82,3 +82,42 @@ def test_metrics_with_class_only_predicted(spark):
     for m in ["f1", "accuracy", "weightedPrecision", "weightedRecall"]:
         ref = MulticlassClassificationEvaluator(metricName=m).evaluate(pred)
         assert abs(ours[m] - ref) < 1e-9, m
+
+
+def test_nominal_columns_up_to_the_limit_fit_and_beyond_raise(spark, sf_small):
+    import pytest
+    from citeflow.operators import models as MD
+    f = fit_all(spark, sf_small, num_trees=5)
+    from citeflow.operators.features import label_counts
+    widest = max(label_counts(f.features).items(), key=lambda x: x[1])
+    exact = MD.fit_feature_model(f.train, most_bins=widest[1] + 1)
+    assert MD.max_bins(exact) == widest[1] + 1
+    MD.train_model(f.train, exact, MD.tree(exact))
+    name = widest[0].removesuffix("_index")
+    with pytest.raises(ValueError, match=name):
+        MD.fit_feature_model(f.train, most_bins=widest[1])
+
+
+def test_saved_model_carries_its_index_tables(spark, sf_small):
+    from pyspark.ml.feature import SQLTransformer
+    from citeflow.operators import models as MD
+    from citeflow.session import scratch_path
+    from citeflow.sources.models import load_model, save_model
+    f = fit_all(spark, sf_small, num_trees=5)
+    index = scratch_path(spark, "t-index")
+    feats = MD.fit_feature_model(f.train, ordered=["street_code1"], index_path=index)
+    model = MD.train_model(f.train, feats, MD.tree(feats))
+    path = save_model(model, scratch_path(spark, "t-wide-model"))
+    back = load_model(path)
+    text = [s.getStatement() for s in back.stages if isinstance(s, SQLTransformer)][0]
+    assert index not in text and f"{path}-tables" in text
+    cols = ["summons_number", "prediction"]
+    assert sorted(back.transform(f.test).select(*cols).collect()) == sorted(model.transform(f.test).select(*cols).collect())
+
+
+def test_rows_without_a_key_train(spark):
+    from citeflow.operators.sampling import key_split
+    df = spark.createDataFrame([(5,), (6,), (None,)], "k long")
+    train, test = key_split(df, "k")
+    assert sorted(str(r[0]) for r in train.collect()) == ["6", "None"] and [r[0] for r in test.collect()] == [5]
+    assert {r[0]: r[1] for r in key_split(df, "k", split_col="s").collect()} == {5: "test", 6: "train", None: "train"}

@@ -8,6 +8,7 @@ from citeflow.plans.catalog import publish_messages
 from citeflow.plans.jobs import clean_job, read_cleaned, stream_job, train_job
 from citeflow.session import scratch_path
 from citeflow.sources.fixture import citations
+from citeflow.streaming.scorer import finish
 from citeflow.sources.tables import write_csv
 
 
@@ -23,19 +24,19 @@ def test_clean_train_stream_jobs(spark, sf_small):
     assert cleaned.count() == clean_citations(expected).count()
 
     model_path = scratch_path(spark, "job-model")
-    metrics = train_job(spark, read_cleaned(spark, out_path), model_path, num_trees=5)
+    metrics = train_job(spark, read_cleaned(spark, out_path, "parquet"), model_path, num_trees=5)
     got = {(r["model"], r["metric"]) for r in metrics.collect()}
     assert ("random_forest", "f1") in got and ("decision_tree", "accuracy") in got
 
     # stream: index the cleaned rows with the saved model's stages, publish, score
     from citeflow.sources.models import load_model
     model = load_model(model_path)
-    msgs = model.transform(read_cleaned(spark, out_path)).select(*K.FEATURES)
+    msgs = model.transform(read_cleaned(spark, out_path, "parquet")).select(*K.FEATURES)
     src = publish_messages(msgs, scratch_path(spark, "job-msgs"))
     sink = scratch_path(spark, "job-scored")
-    q = stream_job(spark, model_path, sink, scratch_path(spark, "job-ckpt"), files=src,
-                   available_now=True)
-    q.awaitTermination(300)
+    queries = stream_job(spark, model_path, sink, scratch_path(spark, "job-ckpt"), files=src,
+                         available_now=True)
+    finish(queries, 300)
     scored = spark.read.parquet(sink)
     assert scored.count() == msgs.count()
     assert scored.where(F.col("predicted_label").isNull()).count() == 0

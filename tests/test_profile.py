@@ -83,3 +83,26 @@ def test_seeded_random_split_is_deterministic_and_disjoint(spark, sf_small):
     assert tr == {r[0] for r in b_train.collect()} and te == {r[0] for r in b_test.collect()}
     assert not tr & te and len(tr) + len(te) == df.count()
     assert 0.7 < len(tr) / df.count() < 0.9
+
+
+def test_copies_and_merges_are_decided_by_bytes(spark, sf_small):
+    from citeflow.operators.sampling import split_bytes, task_estimate
+    from citeflow.sources.tables import wants_copy
+    assert not wants_copy(238 << 20, 31, 32) and wants_copy(10 << 20, 1, 8) and not wants_copy(1, 8, 8)
+    assert split_bytes("128m") == 128 << 20 and split_bytes("134217728b") == 134217728 == split_bytes("134217728")
+    df = spark.read.parquet(f"{sf_small}/lineitem.parquet")
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(-(-size // 165)))
+    try:
+        assert 160 <= task_estimate(df) <= 165
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_exact_csv_keeps_space_and_line_breaks(spark):
+    from citeflow.session import scratch_path
+    from citeflow.sources.tables import read_csv, write_csv
+    df = spark.createDataFrame([("  x ", 'a\n"b"'), ("y", "c,d")], "a string, b string")
+    path = write_csv(df, scratch_path(spark, "t-exact"), exact=True)
+    assert sorted(read_csv(spark, path, schema=df.schema, exact=True).collect()) == sorted(df.collect())

@@ -5,12 +5,14 @@ from pyspark.sql import functions as F
 from citeflow import constants as K
 from citeflow.operators.attribution import attribution_table
 from citeflow.operators.sampling import limit_stable
-from citeflow.operators.synthesis import batch_quality, synthesize, with_row_index
+from citeflow.operators.sampling import with_row_index
+from citeflow.operators.synthesis import batch_quality, synthesize
 from citeflow.plans.batch_job import fit_all, materialized_clean
 from citeflow.plans.catalog import RAW_FEATURES, publish_messages
 from citeflow.session import scratch_path
-from citeflow.streaming.scorer import (file_message_source, invalid_messages,
-                                       parse_feature_messages, run_available_now, score_messages)
+from citeflow.sources.messages import to_messages
+from citeflow.streaming.scorer import (file_message_source, invalid_messages, run_available_now,
+                                       score_messages)
 
 
 def test_stream_equals_batch_and_restart_adds_nothing(spark, sf_small):
@@ -30,24 +32,63 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, sf_small):
     assert spark.read.parquet(sink).count() == feats.count()
 
 
-def test_bad_messages_go_to_side_output(spark):
-    msgs = spark.createDataFrame([('{"month": "x"}',), ("not json",)], "value string")
-    parsed = parse_feature_messages(msgs)
-    assert invalid_messages(parsed).count() == 2
+def test_every_message_is_in_one_of_the_two_sinks(spark, sf_small):
+    f = fit_all(spark, sf_small, num_trees=5)
+    good = f.features.transform(f.test).select(*K.FEATURES).limit(20)
+    rows = [(f"k{i}", r["value"]) for i, r in enumerate(to_messages(good, key=False).collect())]
+    rows += [("x", '{"month": "x"}'), ("y", "not json"), (None, None)]
+    msgs = spark.createDataFrame(rows, "key string, value string")
+    scored = score_messages(msgs, f.forest, keep=["key"])
+    assert {r["key"] for r in scored.collect()} == {f"k{i}" for i in range(20)}
+    assert sorted(str(r["key"]) for r in invalid_messages(msgs).collect()) == ["None", "x", "y"]
+
+
+def test_bare_forest_scores_with_given_labels(spark, sf_small):
+    from citeflow.operators.features import label_names
+    from citeflow.sources.models import load_forest, save_model
+    f = fit_all(spark, sf_small, num_trees=5)
+    path = save_model(f.forest.stages[-1], scratch_path(spark, "t-forest"))
+    msgs = to_messages(f.features.transform(f.test).select(*K.FEATURES), key=False)
+    one = score_messages(msgs, load_forest(path), labels=label_names(f.forest))
+    assert sorted(one.collect()) == sorted(score_messages(msgs, f.forest).collect())
+
+
+def test_an_unfinished_drain_raises(spark, tmp_path):
+    import pytest
+    msgs = spark.range(2000).selectExpr("cast(id as string) as value").repartition(100)
+    src = scratch_path(spark, "t-slow")
+    msgs.write.text(src)
+    stream = file_message_source(spark, src, max_files_per_trigger=1)
+    with pytest.raises(TimeoutError):
+        run_available_now(stream, scratch_path(spark, "t-slow-out"), scratch_path(spark, "t-slow-ckpt"), timeout_s=1)
 
 
 def test_shapley_values_sum_to_prediction_gap(spark, sf_small):
     f = fit_all(spark, sf_small, num_trees=5)
-    explain = limit_stable(f.test, 2, ["summons_number"]).withColumnRenamed("summons_number", "row_id")
-    background = limit_stable(f.train, 10, ["summons_number"]).select(*RAW_FEATURES)
-    out = attribution_table(f.forest, explain, background, RAW_FEATURES, samples=2000,
-                            n_background=10).collect()
-    assert len(out) == 2
+    cols = ["summons_number", *K.CLEANED_COLUMNS]
+    explain = limit_stable(f.test.select(*cols), 4)
+    explain = explain.unionByName(explain)  # repeated keys and wholly equal rows
+    out = attribution_table(f.forest, explain, f.train, RAW_FEATURES, coalitions=200, n_background=10).collect()
+    assert len(out) == 8
     for r in out:
         assert len(r["shap_values"]) == len(RAW_FEATURES)
         assert abs(sum(r["shap_values"]) - (r["probability"] - r["base_value"])) < 1e-9
 
 
+def test_registered_attribution_adds_up(spark, sf_small):
+    from citeflow.plans.catalog import QUERIES
+    out = QUERIES["shapley_attribution"](spark, sf_small).collect()
+    assert len(out) == K.EXPLAIN_ROWS
+    assert all(abs(sum(r["shap_values"]) - (r["probability"] - r["base_value"])) < 1e-9 for r in out)
+
+
+def test_synthesis_does_not_depend_on_the_layout(spark, sf_small):
+    src = materialized_clean(spark, sf_small).select(*K.CLEANED_COLUMNS)
+    one = sorted(map(str, synthesize(src, K.BATCHES, 200, seed=3).collect()))
+    assert one == sorted(map(str, synthesize(src.repartition(7), K.BATCHES, 200, seed=3).collect()))
+    assert one != sorted(map(str, synthesize(src, K.BATCHES, 200, seed=4).collect()))
+
+
 def test_synthesis_invariants(spark, sf_small):
     src = materialized_clean(spark, sf_small).select(*K.CLEANED_COLUMNS)
     idx = with_row_index(src).select("row_idx").collect()
@@ -101,15 +142,9 @@ def test_row_index_same_with_shuffled_offsets(spark, sf_small, monkeypatch):
     assert sorted(r["row_idx"] for r in broadcast) == list(range(src.count()))
 
 
-def test_registered_stream_drains_in_fixed_batches(spark, sf_small):
-    import os
-    from urllib.parse import urlparse
-    from citeflow.plans.catalog import QUERIES, STREAM_BATCHES
-    out = QUERIES["stream_score"](spark, sf_small)
-    sink = os.path.dirname(urlparse(out.inputFiles()[0]).path)
-    batches = [f for f in os.listdir(os.path.join(sink, "_spark_metadata")) if f.isdigit()]
-    assert 1 <= len(batches) <= STREAM_BATCHES
-    assert out.count() == fit_all(spark, sf_small).test.count()
+def test_registered_stream_scores_every_message(spark, sf_small):
+    from citeflow.plans.catalog import QUERIES
+    assert QUERIES["stream_score"](spark, sf_small).count() == fit_all(spark, sf_small).test.count()
 
 
 def test_kafka_source_options_and_missing_connector(spark):
