@@ -39,11 +39,11 @@ from pyspark.sql import functions as F
 from citeflow.llm.common import U64, document_columns, partitions_for, read, stored, text_blocks, word_hashes
 
 CLASSES = 64
-FREQUENT = 4096
+FREQUENT = 2048
 SWEEPS = 8
 WEIGHT = 0.9
 HELD_OUT = (7, 2)
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 #: stands for the end of a text among the word hashes
 END = U64(0x0E0D0E0D0E0D0E0D)
 #: context classes beyond the words' own: any word that is not frequent, and the end
@@ -67,7 +67,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, texts in text_blocks(batch, "text", BLOCK):
             hashes, sizes = [], []
-            for _, part in text_blocks(pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["text"]), "text"):
+            for _, part in text_blocks(pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["text"]), "text", BLOCK // 2):
                 words, bounds, *_ = word_hashes(part)
                 n = np.diff(bounds)
                 ends = np.cumsum(n + 1) - 1
