@@ -3,7 +3,8 @@
     P(lang | all) ~ P(text | lang) * P(declared | lang) * P(suffix | lang) * P(lang | host)
 
 * Text: a byte trigram model per language (the third byte given two, A-Z lower-cased), fitted on
-  at most ``FIT_ROWS`` labelled texts a language (those with the least hash of their id). Its log
+  at most ``FIT_ROWS`` labelled texts a language (those with the least hash of their id, for the
+  ``MOST_LANGS`` most frequent labels). Its log
   likelihood counts ``TEMPER`` fold, as neighbouring bytes are not independent.
 * Declared language (a page's markup) and address suffix (the last label of the host): how often
   each language bears each value, from the texts' posteriors over all rows, smoothed.
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from citeflow.llm.common import read, stored, text_blocks
 
 FIT_ROWS = 2000
+MOST_LANGS = 64
 TRIGRAMS = 1 << 18
 TEMPER = 0.3
 STRENGTH = 8.0
@@ -59,10 +61,15 @@ def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 def fit_text_model(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, and log probabilities by language of trigram slots (``P(third | two)`` is the slot's
     count over the pair's) and of pairs. The counts are grouped sums over the fitting rows."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.lower(F.col(lang_col)).alias("lang"))
-    rows = (rows.where("text is not null and lang is not null").withColumn("n", F.row_number().over(order))
-            .where(F.col("n") <= FIT_ROWS).select("lang", "text"))
+    rows = labelled.select(F.col(id_col).alias("id"), F.lower(F.col(lang_col)).alias("lang"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.where("id is not null and text is not null and lang is not null")
+    counts = rows.groupBy("lang").agg(F.count("*").alias("of")).orderBy(F.desc("of"), "lang").limit(MOST_LANGS)
+    # ids first: a share of each language that surely holds its least hashes, then exactly those
+    share = F.pmod(F.xxhash64("id"), F.lit(1 << 31)) / float(1 << 31)
+    order = Window.partitionBy("lang").orderBy(share, "id")
+    picked = (rows.select("id", "lang").join(F.broadcast(counts), "lang").where(share < 1.3 * FIT_ROWS / F.col("of"))
+              .withColumn("n", F.row_number().over(order)).where(F.col("n") <= FIT_ROWS).select("id", "lang").distinct())
+    rows = rows.join(F.broadcast(picked), ["id", "lang"]).select("lang", "text")  # at most FIT_ROWS * MOST_LANGS ids
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: dict[str, np.ndarray] = {}
