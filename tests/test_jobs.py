@@ -80,3 +80,25 @@ def test_unset_checkpoint_dir_is_an_error_on_a_cluster():
 
     with pytest.raises(ValueError, match="shared folder"):
         checkpoint_root(Session())
+
+
+def test_clean_keep_train_key_publish_stream_chain(spark, sf_small):
+    from citeflow.operators.clean import CleanOptions
+    from citeflow.plans.jobs import profile_job, publish_job, sample_job
+    from citeflow.sources.tables import read_csv
+    raw, out = scratch_path(spark, "chain-raw"), scratch_path(spark, "chain-clean")
+    write_csv(to_title_names(citations(spark, sf_small), sep=" "), raw)
+    clean_job(spark, raw, out, options=CleanOptions(keep=("summons_number",)))
+    cleaned = read_cleaned(spark, out, keep=("summons_number",))
+    model, sample, messages, sink = (scratch_path(spark, f"chain-{n}") for n in ("model", "sample", "messages", "scored"))
+    train_job(spark, cleaned, model, key="summons_number", num_trees=3)
+    from citeflow.sources.models import load_model
+    assert load_model(f"{model}-tree").stages
+    sample_job(cleaned, model, sample, key="summons_number", rows=50)
+    publish_job(read_csv(spark, sample), output_path=messages)
+    bad = spark.createDataFrame([("not json",)], "value string")
+    bad.write.mode("append").text(messages)
+    finish(stream_job(spark, model, sink, f"{sink}-ckpt", files=messages, available_now=True), 300)
+    assert spark.read.parquet(sink).count() == 50
+    assert [r[0] for r in spark.read.parquet(f"{sink}-invalid").collect()] == ["not json"]
+    assert len(profile_job(cleaned, scratch_path(spark, "chain-reports"))) == 9
