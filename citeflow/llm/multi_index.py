@@ -40,7 +40,7 @@ FIT_ROWS = 20_000
 MOST_CENTROIDS = 1024
 PROBES = 200
 RECALL = 0.96
-QUERY_BLOCK = 4096
+QUERY_BLOCK = 1024
 VECTOR_BLOCK = 20_000
 
 
@@ -238,7 +238,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, id_col
             need += [reach[r["cell"]] for r in true if r["probe"] == n]
         enough = int(np.quantile(need, RECALL))
 
-    blocks = partitions_for(spark, total, VECTOR_BLOCK)
+    blocks = max(1, -(-total // VECTOR_BLOCK))  # each gives its k + 1 best of a query: no more than needed
     pieces = np.maximum(1, -(-sizes // (VECTOR_BLOCK // 4)))
     n_classes = classes.count()
     query_blocks = max(1, -(-n_classes // QUERY_BLOCK))
