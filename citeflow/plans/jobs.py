@@ -55,11 +55,12 @@ def clean_job(spark: SparkSession, input_path: str, output_path: str, fmt: str =
 
 def read_cleaned(spark: SparkSession, path: str, fmt: str = "csv", keep: tuple[str, ...] = ()) -> DataFrame:
     """A cleaned table written by ``clean_job`` in the same format; ``keep`` names the extra
-    columns it was written with (in a CSV they come last, as whole numbers)."""
+    whole-number columns it was written with (a CSV's header tells where they stand)."""
     if fmt == "parquet":
         return spark.read.parquet(resolve_path(path))
-    schema = ", ".join([CLEANED_SCHEMA, *(f"{c} bigint" for c in keep)])
-    return read_csv(spark, path, schema=schema)
+    types = dict(part.split() for part in CLEANED_SCHEMA.split(", ")) | dict.fromkeys(keep, "bigint")
+    names = read_csv(spark, path).columns
+    return read_csv(spark, path, schema=", ".join(f"{c} {types.get(c, 'string')}" for c in names))
 
 
 def train_job(spark: SparkSession, cleaned: DataFrame, model_path: str | None = None,
