@@ -84,6 +84,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def least_hashed(df: DataFrame, key: str, n: int, total: int) -> DataFrame:
+    """The ``n`` rows of ``df`` (``total`` rows) with the least hash of ``key``. Rows that cannot be among
+    them are left out first, so the final merge sees little more than ``n``."""
+    share = F.pmod(F.xxhash64(key), F.lit(1 << 31)) / float(1 << 31)
+    margin = 1.3 + 40 / max(n, 1)
+    return df.where(share < margin * n / max(total, 1)).orderBy(share, key).limit(n)
+
+
 def partitions_for(spark: SparkSession, rows: int, per_task: int) -> int:
     """Shuffle partitions for ``rows``: at least the session's, else ``per_task`` rows each."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))

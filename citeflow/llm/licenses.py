@@ -3,7 +3,7 @@
 A paragraph is a line of a text. Its features are hashed single words and word pairs (A-Z
 lower-cased), weighted by one over the root of their number. A multinomial logistic regression
 (Spark ML) is trained on notices of each licence family, with words dropped, swapped and framed
-by other text, against paragraphs of the corpus (at most ``UNKNOWN_ROWS``, those with the least
+by other text, against paragraphs of the corpus (at most ``UNKNOWN_ROWS`` different ones, by the least
 hash) that resemble no template: the unknown class. On rows kept from the fit, a temperature
 is chosen that makes the probabilities fit their outcomes.
 
@@ -27,7 +27,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeflow.llm.common import U64, document_columns, mix, read, text_blocks, word_hashes
+from citeflow.llm.common import U64, document_columns, least_hashed, mix, read, text_blocks, word_hashes
 
 SLOTS = 1 << 14
 UNKNOWN_ROWS = 3000
@@ -127,7 +127,8 @@ def train(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
     training rows; the fit is Spark's."""
     spark = docs.sparkSession
     lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).where(F.length(F.trim("line")) > 0)
-    picked = lines.orderBy(F.xxhash64("line"), "line").limit(UNKNOWN_ROWS).toPandas()["line"].tolist()
+    some = lines.groupBy("line").agg(F.lit(1).alias("one"))
+    picked = least_hashed(some, "line", UNKNOWN_ROWS, lines.count()).toPandas()["line"].tolist()
     lines, labels = _training_rows(picked)
     hashes, bounds = _words(lines)
     group = np.repeat(np.arange(len(lines)), np.diff(bounds))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from citeflow.llm.common import partitions_for, read, stored
+from citeflow.llm.common import least_hashed, partitions_for, read, stored
 
 FIT_ROWS = 20_000
 MOST_CENTROIDS = 1024
@@ -215,7 +215,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, id_col
     total = limited.count()
     if size < 2 or not total:
         return spark.createDataFrame([], found)
-    sample = _matrix(list(limited.orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS).toPandas()["vec"]), size)
+    sample = _matrix(list(least_hashed(limited, "id", FIT_ROWS, total).toPandas()["vec"]), size)
     centroids = int(min(MOST_CENTROIDS, max(4, 2 ** round(np.log2(max(total, 12) / 12) / 2))))
     books = fit_codebook(sample[:, :size // 2], centroids), fit_codebook(sample[:, size // 2:], centroids)
     one, two = books
@@ -225,7 +225,8 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, id_col
         sizes[r["cell"]] = r["count"]
 
     classes = stored(rows.where("query").groupBy("vec").agg(F.min("id").alias("id")), "queries")
-    probes = _matrix(list(classes.orderBy(F.xxhash64("id"), "id").limit(PROBES).toPandas()["vec"]), size)
+    n_classes = classes.count()
+    probes = _matrix(list(least_hashed(classes, "id", PROBES, n_classes).toPandas()["vec"]), size)
     enough = total
     if len(probes):
         scored = index.mapInArrow(_all_scores(spark.sparkContext.broadcast(probes), size, k + 1), "probe int, id long, cell long, score double")
@@ -240,7 +241,6 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, id_col
 
     blocks = max(1, -(-total // VECTOR_BLOCK))  # each gives its k + 1 best of a query: no more than needed
     pieces = np.maximum(1, -(-sizes // (VECTOR_BLOCK // 4)))
-    n_classes = classes.count()
     query_blocks = max(1, -(-n_classes // QUERY_BLOCK))
     table = spark.sparkContext.broadcast((one, two, sizes, pieces, enough))
     split = spark.createDataFrame([(int(c), int(pieces[c])) for c in np.flatnonzero(pieces > 1)], "cell long, pieces int")
