@@ -13,6 +13,7 @@ from citeflow.llm.language_id import op2_bayes_language_id
 from citeflow.llm.licenses import op3_license_scan
 from citeflow.llm.line_templates import op9_log_template_lines
 from citeflow.llm.multi_index import op6_inverted_multi_index
+from citeflow.llm.oracles import LINES, PARTENUM
 from citeflow.llm.packing import op4_best_fit_packing
 from citeflow.llm.partenum import op5_partenum_join
 from citeflow.llm.suffix_dedup import op7_suffix_array_dedup
@@ -31,6 +32,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_forced_boundary_bpe": op10_forced_boundary_bpe,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_partenum_join": PARTENUM, "op9_log_template_lines": LINES}
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
