@@ -155,7 +155,7 @@ def brute_components(texts):
     return {d: (len(sets[d]), root(d)) for d in sets}
 
 
-@pytest.mark.parametrize("limits", [{}, {"SMALL_BUCKET": 3, "PAGE_ITEMS": 900, "BLOCK_FREQUENT": 2}])
+@pytest.mark.parametrize("limits", [{}, {"SMALL_BUCKET": 3, "PAGE_ITEMS": 900, "BLOCK_FREQUENT": 2, "PAGED_LEVEL": 2}])
 def test_near_duplicates(spark, monkeypatch, limits):
     for k, v in limits.items():
         monkeypatch.setattr(partenum, k, v)
