@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from citeflow.session import ensure_checkpoint_dir, scratch_path
 
 BLOCK_BYTES = 4 << 20
-ARROW_BYTES = 16 << 20
+ARROW_BYTES = 8 << 20
 
 U64 = np.uint64
 _RNG = np.random.default_rng(20240607)

@@ -38,6 +38,8 @@ TEMPER = 0.3
 STRENGTH = 8.0
 LEAST = 0.5
 SMOOTH = 0.5
+#: bytes of text that a task works on at a time
+BLOCK = 1 << 20
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 LETTER = np.zeros(256, bool)
@@ -75,7 +77,7 @@ def fit_text_model(labelled: DataFrame, id_col: str = "doc_id", text_col: str =
         tables: dict[str, np.ndarray] = {}
         for batch in batches:
             langs = batch.column("lang").to_pylist()
-            for part, texts in text_blocks(batch, "text"):
+            for part, texts in text_blocks(batch, "text", BLOCK):
                 own = langs[part]
                 for lang in set(own):
                     slot, pair, starts, sizes = _grams([t for t, l in zip(texts, own) if l == lang])
@@ -104,7 +106,7 @@ def _likelihoods(table):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, tri, two = table.value
         for batch in batches:
-            for rows, texts in text_blocks(batch, "text"):
+            for rows, texts in text_blocks(batch, "text", BLOCK):
                 slot, pair, starts, sizes = _grams(texts)
                 out = np.zeros((len(texts), len(tri)))
                 some = sizes > 0

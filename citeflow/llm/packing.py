@@ -39,6 +39,8 @@ CAPACITY = 2048
 #: the plan is made for each number of groups and each border of the small lengths; the best counts
 GROUPS = (24, 96)
 SMALL_SHARES = (2, 3, 4, 6, 12)
+#: bytes of text that a task works on at a time
+BLOCK = 2 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
@@ -60,7 +62,7 @@ def library_encoder(path: str) -> ChunkEncoder:
             found = tokenizer.encode_batch_fast([r.decode() for r in runs], add_special_tokens=False)
             return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-        _ENCODERS[path] = ChunkEncoder(split_words, encode, limit=800_000)
+        _ENCODERS[path] = ChunkEncoder(split_words, encode, limit=400_000)
     return _ENCODERS[path]
 
 
@@ -71,7 +73,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, close_id:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(path)
         for batch in batches:
-            for rows, texts in text_blocks(batch, "text"):
+            for rows, texts in text_blocks(batch, "text", BLOCK):
                 ids, bounds = encoder.ids(texts)
                 at = bounds.tolist()
                 owner, piece, start, length, crc = [], [], [], [], []
