@@ -6,7 +6,7 @@
    texts as positions in that list. Everything later reads the blocks.
 2. Words are counted over all training texts: each block sends its distinct words to hash
    buckets, where they are summed.
-3. The ``FREQUENT`` most frequent words are clustered by exchange: all their bigrams are counted;
+3. The ``FREQUENT`` most frequent words are clustered by exchange: all their bigrams that occur are counted;
    in each sweep every word is moved to the class with the largest gain of the class-bigram
    likelihood, half of the words a sweep, so that neighbours do not move at once.
 4. Every other word joins a class by its contexts: each occurrence votes for the class that the
@@ -39,11 +39,13 @@ from pyspark.sql import functions as F
 from citeflow.llm.common import U64, document_columns, partitions_for, read, stored, text_blocks, word_hashes
 
 CLASSES = 64
-FREQUENT = 2048
+FREQUENT = 4096
 SWEEPS = 8
 WEIGHT = 0.9
 HELD_OUT = (7, 2)
 BLOCK = 4 << 20
+#: cells of bigrams that a task holds before it sends them on
+CELLS = 1 << 20
 #: stands for the end of a text among the word hashes
 END = U64(0x0E0D0E0D0E0D0E0D)
 #: context classes beyond the words' own: any word that is not frequent, and the end
@@ -159,30 +161,44 @@ class _Frequent:
         return np.where(words == END, self.stop, np.where(self.sorted[at] == words, at + 1, 0))
 
 
+def _summed(cells: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct cells, sorted, and the sums of their counts."""
+    cells, counts = np.concatenate(cells), np.concatenate(counts)
+    order = np.argsort(cells, kind="stable")
+    cells, counts = cells[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]])) if len(cells) else np.zeros(0, np.int64)
+    return cells[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
 def _pairs(table, buckets: int):
-    """Bigram counts of the frequent words (and 0 and the end) in the training texts of a task."""
+    """Bigram counts of the frequent words (and 0 and the end) in the training texts of a task. Only
+    cells that occur are held, about ``CELLS`` at a time; what is sent twice is summed behind."""
+
+    def send(cells: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        bucket = cells % buckets
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
+        parts = [order[a:b] for a, b in zip(cuts, cuts[1:])]
+        return pa.RecordBatch.from_arrays([
+            pa.array(range(buckets), pa.int64()), pa.array([cells[p].astype("<i4").tobytes() for p in parts], pa.binary()),
+            pa.array([counts[p].astype("<i8").tobytes() for p in parts], pa.binary())], ["bucket", "cells", "counts"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, total = table.value, None
+        frequent = table.value
         width = frequent.stop + 1
+        held_cells, held_counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             for w, t, held, sizes in zip(*(batch.column(k).to_pylist() for k in ("words", "tokens", "held", "sizes"))):
                 ids = frequent(np.frombuffer(w, U64))[_grow(t)]
                 before = np.concatenate([[frequent.stop], ids[:-1]])
                 train = ~np.repeat(np.array(held, bool), sizes)
-                if total is None:
-                    total = np.zeros(width * width, np.int64)
-                total += np.bincount((before * width + ids)[train], minlength=width * width)
-        if total is None:
-            return
-        cells = np.flatnonzero(total)
-        bucket = cells % buckets
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
-        parts = [cells[order[a:b]] for a, b in zip(cuts, cuts[1:])]
-        yield pa.RecordBatch.from_arrays([
-            pa.array(range(buckets), pa.int64()), pa.array([p.astype("<i4").tobytes() for p in parts], pa.binary()),
-            pa.array([total[p].astype("<i8").tobytes() for p in parts], pa.binary())], ["bucket", "cells", "counts"])
+                cells, counts = np.unique((before * width + ids)[train], return_counts=True)
+                held_cells, held_counts = _summed([held_cells, cells], [held_counts, counts])
+                if len(held_cells) > CELLS:
+                    yield send(held_cells, held_counts)
+                    held_cells, held_counts = held_cells[:0].copy(), held_counts[:0].copy()
+        if len(held_cells):
+            yield send(held_cells, held_counts)
 
     return work
 
@@ -195,8 +211,7 @@ def _sum_pairs(width: int):
             n += [np.frombuffer(b, "<i8") for b in batch.column("counts").to_pylist()]
         if not x:
             return
-        cells, inverse = np.unique(np.concatenate(x), return_inverse=True)
-        counts = np.bincount(inverse, weights=np.concatenate(n), minlength=len(cells)).astype(np.int64)
+        cells, counts = _summed(x, n)
         for a in range(0, len(cells), 500_000):
             c = cells[a:a + 500_000]
             yield pa.RecordBatch.from_arrays([pa.array(c // width, pa.int32()), pa.array(c % width, pa.int32()),
@@ -420,7 +435,7 @@ def class_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     blocks = stored(document_columns(docs, id_col, text_col).mapInArrow(_blocks, BLOCKS), "blocks")
     total = blocks.agg(F.sum(F.length("words") / 8)).first()[0] or 0
-    buckets = partitions_for(spark, int(total), 1_500_000)
+    buckets = partitions_for(spark, int(total), 750_000)
     tops = stored(blocks.select("block", "words", "counts").mapInArrow(_scatter(buckets), "bucket long, words binary, counts binary")
                   .repartition(buckets, "bucket").mapInArrow(_top_words(FREQUENT), "word long, n long, kinds long, once long"), "vocabulary")
     n_train, kinds, once = (int(x or 0) for x in tops.where("word is null").agg(F.sum("n"), F.sum("kinds"), F.sum("once")).first())
