@@ -128,7 +128,8 @@ def train(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
     spark = docs.sparkSession
     lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).where(F.length(F.trim("line")) > 0)
     some = lines.groupBy("line").agg(F.lit(1).alias("one"))
-    picked = least_hashed(some, "line", UNKNOWN_ROWS, lines.count()).toPandas()["line"].tolist()
+    distinct = lines.select(F.xxhash64("line").alias("line")).distinct().count()  # by hashes: lines do not move for it
+    picked = least_hashed(some, "line", UNKNOWN_ROWS, distinct).toPandas()["line"].tolist()
     lines, labels = _training_rows(picked)
     hashes, bounds = _words(lines)
     group = np.repeat(np.arange(len(lines)), np.diff(bounds))
