@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from citeflow.llm.brown_lm import op1_brown_class_lm
 from citeflow.llm.forced_bpe import op10_forced_boundary_bpe
+from citeflow.llm.huffman_ids import op13_huffman_ids
 from citeflow.llm.language_id import op2_bayes_language_id
 from citeflow.llm.licenses import op3_license_scan
 from citeflow.llm.line_templates import op9_log_template_lines
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_closed_syncmers": op8_closed_syncmers,
     "op9_log_template_lines": op9_log_template_lines,
     "op10_forced_boundary_bpe": op10_forced_boundary_bpe,
+    "op13_huffman_ids": op13_huffman_ids,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {"op5_partenum_join": PARTENUM, "op9_log_template_lines": LINES}

@@ -24,4 +24,4 @@ def test_query_equals_its_sql(spark, name):
 
 def test_registered_names():
     assert [k for k in catalog.QUERIES if k != "pipeline"] == sorted((k for k in catalog.QUERIES if k != "pipeline"), key=lambda k: int(k[2:].split("_")[0]))
-    assert len(catalog.QUERIES) == 11 and len(corpus_pipeline.STAGES) == 5
+    assert len(catalog.QUERIES) == 14 and len(corpus_pipeline.STAGES) == 5
