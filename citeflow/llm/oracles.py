@@ -48,3 +48,47 @@ o AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_drop
              coalesce(string_agg(raw, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS kept FROM f GROUP BY doc_id)
 SELECT doc_id, n_lines, n_dropped, length(kept) AS kept_chars, sha256(kept) AS kept_sha256 FROM o
 """
+
+#: the rows after damage (crc32 from its table), their faults, then the cheapest audit by position and state; between
+#: two turns up to three inserts, more than that return to a state at a cost
+REPAIR = f"""
+WITH RECURSIVE crc AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+                            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i))),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ascii(c) AS BIGINT)) AS bytes
+      FROM conversations),
+h AS (SELECT k.*, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS code FROM k, crc),
+d AS (SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+             CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(range(CASE WHEN code = 3 THEN 2 ELSE 1 END)) AS copy FROM h WHERE code <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth, left(role, 1) AS c,
+             regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS seen FROM d),
+f AS (SELECT *, seen = '' AS blank, seen <> '' AND nth > 1 AS again, seen <> '' AND nth = 1 AND right(seen, 1) NOT IN ('.', '!', '?') AS cut,
+             i > 1 AND lag(c) OVER (PARTITION BY conv_id ORDER BY i) || c NOT IN ('su', 'ua', 'au') AS odd FROM o),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+             count(*) FILTER (WHERE again) AS duplicate, count(*) FILTER (WHERE cut) AS truncated, count(*) FILTER (WHERE odd) AS illegal, max(i) AS n
+           FROM f GROUP BY conv_id),
+ins(st, n, st2) AS (VALUES (0, 0, 0), (1, 0, 1), (2, 0, 2), (3, 0, 3), (0, 1, 2), (0, 2, 3), (1, 1, 2), (1, 2, 3), (2, 1, 3), (3, 1, 2)),
+follows(st, c, st2) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+forced(st, st2, role) AS (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')),
+made(st, n, lines) AS (VALUES (0, 0, []), (1, 0, []), (2, 0, []), (3, 0, []), (0, 1, ['user:']), (0, 2, ['user:', 'assistant:']),
+             (1, 1, ['user:']), (1, 2, ['user:', 'assistant:']), (2, 1, ['assistant:']), (3, 1, ['user:'])),
+way AS (
+    SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, 0 AS st, {{'cost': CAST(0 AS BIGINT), 'audit': '', 'lines': CAST([] AS VARCHAR[])}} AS best FROM conversations
+    UNION ALL
+    SELECT conv_id, i, st, min(best) FROM (
+        SELECT w.conv_id, f.i, e.st2 AS st, {{'cost': w.best.cost + 2 * j.n + e.cost, 'audit': w.best.audit || repeat('I', j.n) || e.op,
+                                             'lines': list_concat(w.best.lines, m.lines, CASE WHEN e.line IS NULL THEN [] ELSE [e.line] END)}} AS best
+        FROM way w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1 JOIN ins j ON j.st = w.st JOIN made m ON m.st = w.st AND m.n = j.n,
+        LATERAL (SELECT j.st2 AS st2, 3 AS cost, 'D' AS op, CAST(NULL AS VARCHAR) AS line
+                 UNION ALL SELECT x.st2, CAST(f.cut AS INTEGER), 'K', f.role || ':' || f.text FROM follows x WHERE x.st = j.st2 AND x.c = f.c AND NOT f.blank AND NOT f.again
+                 UNION ALL SELECT y.st2, 2 + CAST(f.cut AS INTEGER), 'R', y.role || ':' || f.text FROM forced y WHERE y.st = j.st2 AND NOT f.blank AND NOT f.again) e)
+    GROUP BY conv_id, i, st),
+whole AS (SELECT w.conv_id, min({{'cost': w.best.cost + 2 * j.n, 'audit': w.best.audit || repeat('I', j.n), 'lines': list_concat(w.best.lines, m.lines)}}) AS best
+          FROM way w LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id JOIN ins j ON j.st = w.st JOIN made m ON m.st = w.st AND m.n = j.n
+          WHERE w.i = coalesce(c.n, 0) AND j.st2 IN (0, 3) GROUP BY w.conv_id)
+SELECT w.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, best.cost AS cost, best.audit AS audit, sha256(array_to_string(best.lines, chr(10))) AS repaired_sha256
+FROM whole w LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id
+"""

@@ -13,7 +13,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for t in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = catalog.QUERIES[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
     got = con.execute(catalog.ORACLES[name])
