@@ -15,9 +15,10 @@ from citeflow.llm.language_id import op2_bayes_language_id
 from citeflow.llm.licenses import op3_license_scan
 from citeflow.llm.line_templates import op9_log_template_lines
 from citeflow.llm.multi_index import op6_inverted_multi_index
-from citeflow.llm.oracles import LINES, PARTENUM, REPAIR
+from citeflow.llm.oracles import LINES, PARTENUM, PHRASES, REPAIR
 from citeflow.llm.packing import op4_best_fit_packing
 from citeflow.llm.partenum import op5_partenum_join
+from citeflow.llm.phrases import op12_phrase_tiles
 from citeflow.llm.suffix_dedup import op7_suffix_array_dedup
 from citeflow.llm.syncmers import op8_closed_syncmers
 
@@ -33,10 +34,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_log_template_lines": op9_log_template_lines,
     "op10_forced_boundary_bpe": op10_forced_boundary_bpe,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_phrase_tiles": op12_phrase_tiles,
     "op13_huffman_ids": op13_huffman_ids,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {"op5_partenum_join": PARTENUM, "op9_log_template_lines": LINES,
-                           "op11_conversation_repair": REPAIR}
+                           "op11_conversation_repair": REPAIR, "op12_phrase_tiles": PHRASES}
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -81,7 +81,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     bound_batches(spark)
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._stored_at = path
+    return back
+
+
+def release(df: DataFrame) -> None:
+    """Delete a table that ``stored`` returned, once its last reader has been written."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def least_hashed(df: DataFrame, key: str, n: int, total: int) -> DataFrame:

@@ -92,3 +92,23 @@ SELECT w.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
        coalesce(illegal, 0) AS illegal, best.cost AS cost, best.audit AS audit, sha256(array_to_string(best.lines, chr(10))) AS repaired_sha256
 FROM whole w LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id
 """
+
+#: phrases as lists of words of each piece; every cut and every longer phrase by name
+PHRASES = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM p),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+      FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS a FROM g GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cuts AS (SELECT c.lang, c.phrase, c.k, c.a, j, x.a AS l, y.a AS r, 1000000 * c.a * c.a // (x.a * y.a) AS score
+         FROM c, (SELECT unnest([1, 2]) AS j), f x, f y WHERE j < c.k AND x.lang = c.lang AND x.phrase = array_to_string(c.w[:j], ' ')
+         AND y.lang = c.lang AND y.phrase = array_to_string(c.w[j + 1:], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_pairs AS (SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS longer FROM c, (SELECT unnest([1, 2]) AS i) WHERE k = 3 GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN inner_pairs i ON b.k = 2 AND i.lang = b.lang AND i.phrase = b.phrase WHERE i.longer IS NULL OR 100 * i.longer < 50 * b.a)
+SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+       CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept JOIN n ON n.lang = kept.lang QUALIFY rank <= 2000
+"""
