@@ -142,11 +142,55 @@ def unpack_checkpoints(raw: bytes, n: int) -> np.ndarray:
     return np.frombuffer(raw, "<u4" if len(raw) == 4 * -(-n // STEP) else "<u8")
 
 
+#: ASCII letters, digits, other printable characters but the apostrophe (it may begin a contraction); 0: no cut there
+CLASS = np.zeros(256, np.int8)
+CLASS[33:127] = 3
+CLASS[48:58] = 2
+CLASS[[*range(65, 91), *range(97, 123)]] = 1
+CLASS[39] = 0
+
+
+def split_classes(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """Chunks as ``split_before_space``, cut further between ASCII letters, digits and other characters, where the
+    byte-level pre-tokenizer always cuts; blocks that may hold special tokens are not."""
+    chunks, bounds = split_before_space(texts)
+    buf = np.frombuffer(chunks.buffers()[2], np.uint8)
+    if b"<|" in buf.tobytes():
+        return chunks, bounds
+    kind = CLASS[buf]
+    first = np.zeros(len(buf), bool)
+    first[1:] = (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+    old = np.frombuffer(chunks.buffers()[1], np.int32)[:len(chunks) + 1]
+    first[old[:-1]] = True
+    starts = np.flatnonzero(first)
+    offsets = np.append(starts, len(buf)).astype(np.int32)
+    return (pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(buf)]),
+            np.searchsorted(starts, old[bounds]))
+
+
+#: last bytes of white space outside ASCII
+WIDE_ENDS = (b"\xc2\x85", b"\xc2\xa0")
+WIDE_STARTS = (b"\xe1\x9a", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80")
+JOINED = 256
+
+
+def _joinable(chunk: bytes) -> bytes | None:
+    """The chunk as it may stand after any other such chunk, with the pre-tokenizer cutting just before it (and
+    after a line feed, where it has no white space of its own); ``None``: not so."""
+    first, last = chunk[0], chunk[-1]
+    if last < 33 or last > 126 and (chunk[-2:] in WIDE_ENDS or chunk[-3:-1] in WIDE_STARTS) or b"<|" in chunk:
+        return None
+    if first == 32 or 9 <= first <= 13:
+        return chunk
+    return b"\n" + chunk if 33 <= first <= 126 else None
+
+
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
 def library_ids(path: str) -> ChunkEncoder:
-    """Ids by the tokenizers library, each distinct white-space chunk once per worker."""
+    """Ids by the tokenizers library, each distinct chunk once per worker: new chunks go through it many
+    together, and the bytes that each id stands for tell which are whose."""
     if path not in _ENCODERS:
         import os
 
@@ -156,12 +200,34 @@ def library_ids(path: str) -> ChunkEncoder:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
+        vocabulary = tokenizer.get_vocab()
+        sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            sizes[i] = len(token)  # a character for each byte
+        feed = np.dtype("<u4").itemsize * len(tokenizer.encode("\n", add_special_tokens=False).ids)
 
-        def encode(chunks: list[bytes]) -> list[bytes]:
-            found = tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)
-            return [np.array(e.ids, "<u4").tobytes() for e in found]
+        def each(texts: list[str]) -> list[bytes]:
+            return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-        _ENCODERS[path] = ChunkEncoder(split_before_space, encode)
+        def encode(chunks: list[bytes]) -> list[bytes]:
+            out: list[bytes | None] = [None] * len(chunks)
+            ready = [(i, r) for i, c in enumerate(chunks) if (r := _joinable(c)) is not None]
+            groups = [ready[a:a + JOINED] for a in range(0, len(ready), JOINED)]
+            for group, raw in zip(groups, each([b"".join(r for _, r in g).decode() for g in groups])):
+                ends = np.cumsum(sizes[np.frombuffer(raw, "<u4")])
+                want = np.cumsum([len(r) for _, r in group])
+                at = np.searchsorted(ends, want)
+                if at[-1] >= len(ends) or (ends[at] != want).any():
+                    continue  # some id reaches over two chunks: one by one, below
+                stops = (4 * (at + 1)).tolist()
+                for (i, r), a, b in zip(group, [0, *stops], stops):
+                    out[i] = raw[a + feed:b] if len(r) > len(chunks[i]) else raw[a:b]
+            left = [i for i, o in enumerate(out) if o is None]
+            for i, raw in zip(left, each([chunks[i].decode() for i in left])):
+                out[i] = raw
+            return out
+
+        _ENCODERS[path] = ChunkEncoder(split_classes, encode, limit=600_000)
     return _ENCODERS[path]
 
 

@@ -150,3 +150,16 @@ def test_query_equals_the_library(spark):
         at += len(ids)
     got = sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in H.op13_huffman_ids(spark, sf).collect())
     assert got == want
+
+
+ODD = ["a", "Z", "é", "1", "²", ".", ",", "'", "'s", "'t", "'ll", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", " ", "　", " ",
+       "<|", "|>", "<|endoftext|>", "漢", "\U0001f600", "́", "‍", "\x00", "—", "word", " the", "_", "-", "#", "١"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(ODD), max_size=25).map("".join), min_size=1, max_size=12))
+def test_ids_of_odd_texts(texts):
+    encoder = H.library_ids(public())
+    encoder.cache.clear()
+    ids, bounds = encoder.ids([t.encode() for t in texts])
+    assert [ids[a:b].tolist() + [0] for a, b in zip(bounds, bounds[1:])] == library(texts)
