@@ -17,8 +17,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
-from pyspark.ml.feature import SQLTransformer, StringIndexerModel
+from pyspark.ml.classification import (DecisionTreeClassificationModel, DecisionTreeClassifier,
+                                       RandomForestClassificationModel, RandomForestClassifier)
+from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,8 +33,9 @@ from citeflow.session import scratch_path
 def fit_feature_model(train: DataFrame, cols: Sequence[str] = K.CATEGORY_COLUMNS,
                       target: str = K.TARGET,
                       ordered: Sequence[str] = (), most_bins: int = K.MAX_BINS,
-                      index_path: str | None = None) -> PipelineModel:
-    """Fit the category indices on training rows; assemble the 17 features.
+                      index_path: str | None = None, features: Sequence[str] = K.FEATURES) -> PipelineModel:
+    """Fit the category indices on training rows; assemble the 17 features (or ``features``: the
+    indices of ``cols`` and numeric columns).
 
     One distributed frequency-index job covers every column; the table is
     written to the shared folder. Columns become a ``StringIndexerModel`` built
@@ -89,7 +91,7 @@ def fit_feature_model(train: DataFrame, cols: Sequence[str] = K.CATEGORY_COLUMNS
             outs.append(f"coalesce(w{i}.idx, CAST({sizes[c]} AS DOUBLE)) AS {index_name(c)}")
         stages.append(SQLTransformer(
             statement=f"SELECT t.*, {', '.join(outs)} FROM __THIS__ t {' '.join(joins)}"))
-    return PipelineModel(stages=stages + [feature_assembler(K.FEATURES)])
+    return PipelineModel(stages=stages + [feature_assembler(features)])
 
 
 def categories(labels: int) -> int:
@@ -103,11 +105,13 @@ def max_bins(feature_model: PipelineModel, floor: int = 32) -> int:
 
 
 def forest(feature_model: PipelineModel, num_trees: int = K.FOREST_TREES,
-           max_depth: int = K.TREE_DEPTH, seed: int = 42, max_memory_mb: int = 128) -> RandomForestClassifier:
-    """Forest with the original settings (gini, auto subset, bootstrap)."""
+           max_depth: int = K.TREE_DEPTH, seed: int = 42, max_memory_mb: int = 128,
+           bootstrap: bool = True, subset: str = "auto") -> RandomForestClassifier:
+    """Forest with the original settings (gini, auto subset, bootstrap) unless told otherwise."""
     return RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=num_trees,
                                   maxDepth=max_depth, maxBins=max_bins(feature_model),
-                                  seed=seed, maxMemoryInMB=max_memory_mb)
+                                  seed=seed, maxMemoryInMB=max_memory_mb, bootstrap=bootstrap,
+                                  featureSubsetStrategy=subset)
 
 
 def tree(feature_model: PipelineModel, max_depth: int = K.TREE_DEPTH, seed: int = 42,
@@ -139,10 +143,22 @@ def train_model(train: DataFrame, feature_model: PipelineModel, estimator) -> Pi
 
 
 def score(model: PipelineModel, df: DataFrame, target_class: int = K.TARGET_CLASS,
-          decode: bool = True) -> DataFrame:
-    """Batch (or stream) scoring: prediction, class probability and label text."""
-    out = model.transform(df)
-    probs = vector_to_array("probability")
+          decode: bool = True, compile_trees: bool = True) -> DataFrame:
+    """Batch (or stream) scoring: prediction, class probability and label text.
+
+    The classifier runs as Catalyst expressions over the index columns (``operators.compiled``; the
+    same numbers as the model's). With ``compile_trees=False`` the model itself scores
+    assembled vectors, row by row."""
+    if compile_trees and isinstance(model.stages[-1], (DecisionTreeClassificationModel, RandomForestClassificationModel)):
+        from citeflow.operators.compiled import compiled
+        *before, classifier = model.stages
+        slots = next(s.getInputCols() for s in before if isinstance(s, VectorAssembler))
+        indexed = PipelineModel(stages=[s for s in before if not isinstance(s, VectorAssembler)]).transform(df)
+        out = compiled(classifier, slots).transform(indexed)
+        probs = F.col("probabilities")
+    else:
+        out = model.transform(df)
+        probs = vector_to_array("probability")
     out = out.withColumn("p_target", F.try_element_at(probs, F.lit(target_class + 1)))
     if decode:
         from citeflow.functions.text import decode_label

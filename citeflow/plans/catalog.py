@@ -551,38 +551,42 @@ def _county_rank(where: str = "true") -> str:
 # a tree that may split on the hour alone, down to single hours, predicts the most
 # frequent class of each hour, ties to the class with the smaller index
 _BY_HOUR_SQL = with_stages("cleaned_keyed", f""", lbl AS ({_county_rank(TRAIN_SQL)}),
-    votes AS (SELECT c.time_hour, l.label, count(*) AS n FROM cleaned_keyed c JOIN lbl l ON c.{K.TARGET} = l.county
+    votes AS (SELECT c.time_hour, l.label, l.county, count(*) AS n FROM cleaned_keyed c JOIN lbl l ON c.{K.TARGET} = l.county
               WHERE {TRAIN_SQL} GROUP BY ALL),
-    best AS (SELECT time_hour, label AS prediction FROM (SELECT *, row_number() OVER (PARTITION BY time_hour ORDER BY n DESC, label) AS r FROM votes) WHERE r = 1)
-    SELECT summons_number, c.time_hour, prediction FROM cleaned_keyed c JOIN best b ON c.time_hour = b.time_hour WHERE {TEST_SQL}""")
+    best AS (SELECT time_hour, label AS prediction, county AS predicted_label,
+                    coalesce(max(n) FILTER (WHERE label = {K.TARGET_CLASS}) OVER (PARTITION BY time_hour), 0) / CAST(sum(n) OVER (PARTITION BY time_hour) AS DOUBLE) AS p_target
+             FROM votes QUALIFY row_number() OVER (PARTITION BY time_hour ORDER BY n DESC, label) = 1)
+    SELECT summons_number, c.time_hour, prediction, predicted_label, round(p_target, 12) AS p_target
+    FROM cleaned_keyed c JOIN best b ON c.time_hour = b.time_hour WHERE {TEST_SQL}""")
+
+
+HOUR = ["time_hour"]
 
 
 def _by_hour(spark, sf_dir, estimator):
-    """Test rows predicted by a classifier fitted on the training rows' hour alone."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    """The library's own path over the hour alone: features and classifier fitted on the training
+    rows, test rows scored."""
+    from citeflow.operators.models import fit_feature_model, score, train_model
     from citeflow.plans.batch_job import train_test
     train, test = train_test(spark, sf_dir)
-    stages = [StringIndexer(inputCol=K.TARGET, outputCol="label", stringOrderType="frequencyDesc"),
-              VectorAssembler(inputCols=["time_hour"], outputCol="features"), estimator]
-    fitted = Pipeline(stages=stages).fit(train.select("time_hour", K.TARGET))
-    from pyspark.ml import PipelineModel
-    return PipelineModel(stages=fitted.stages[1:]).transform(test).select("summons_number", "time_hour", "prediction")
+    features = fit_feature_model(train, cols=[], features=HOUR)
+    model = train_model(train, features, estimator(features))
+    return score(model, test)
 
 
 @register("tree_by_hour", _BY_HOUR_SQL)
 def q_tree_by_hour(spark, sf_dir):
     """Decision tree over one continuous feature, deep enough to isolate every hour."""
-    from pyspark.ml.classification import DecisionTreeClassifier
-    return _by_hour(spark, sf_dir, DecisionTreeClassifier(maxDepth=13, seed=42))
+    from citeflow.operators.models import tree
+    return _by_hour(spark, sf_dir, lambda f: tree(f, max_depth=13)).select("summons_number", "time_hour", "prediction", "predicted_label", F.round("p_target", 12).alias("p_target"))
 
 
 @register("forest_by_hour", _BY_HOUR_SQL)
 def q_forest_by_hour(spark, sf_dir):
     """Forest without bootstrap over the same feature: every tree is that tree."""
-    from pyspark.ml.classification import RandomForestClassifier
-    return _by_hour(spark, sf_dir, RandomForestClassifier(maxDepth=13, numTrees=3, bootstrap=False,
-                                                          featureSubsetStrategy="all", seed=42))
+    from citeflow.operators.models import forest
+    return _by_hour(spark, sf_dir, lambda f: forest(f, num_trees=3, max_depth=13, bootstrap=False, subset="all")).select(
+        "summons_number", "time_hour", "prediction", "predicted_label", F.round("p_target", 12).alias("p_target"))
 
 
 @register("classification_metrics", with_stages("cleaned_keyed", f""", lbl AS ({_county_rank()}),
@@ -611,6 +615,24 @@ def q_batch_score(spark, sf_dir):
     return _predictions(f.forest, materialized_clean(spark, sf_dir))
 
 
+UNSEEN = "a value that no row holds"
+
+
+@register("batch_score_report", with_stages("cleaned_keyed", "SELECT 2 * count(*) AS n_rows, 0 AS mismatches FROM cleaned_keyed"))
+def q_batch_score_report(spark, sf_dir):
+    """All cleaned rows, and all of them with values that the indices do not know, scored by the
+    compiled forest and by the model itself: rows, and rows that differ in any bit."""
+    from citeflow.operators.models import score
+    from citeflow.plans.batch_job import materialized_clean
+    f = _fitted(spark, sf_dir)
+    rows = materialized_clean(spark, sf_dir)
+    odd = rows.withColumns({c: F.lit(UNSEEN) if rows.schema[c].dataType.simpleString() == "string" else F.lit(-1).cast(rows.schema[c].dataType)
+                            for c in K.CATEGORY_COLUMNS[::2]})
+    rows = rows.unionByName(odd)
+    keys = ["summons_number", "label", "prediction", "p_target", "predicted_label"]
+    return _agreement(score(f.forest, rows).select(*keys), score(f.forest, rows, compile_trees=False).select(*keys), keys)
+
+
 @register("evaluate_model")
 def q_evaluate_model(spark, sf_dir):
     from citeflow.plans.batch_job import run_job
