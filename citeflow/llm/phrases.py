@@ -8,8 +8,9 @@
 3. Adjacent ids are counted per part (``PairTiles``): a pair's tile is ``(a // SIDE, b // SIDE)``. Among the
    ``DENSE_IDS`` most frequent ids a well-filled tile is one dense ``bincount`` over all its cells; all other tiles
    keep their pairs as sorted coordinates with counts. Spark sums the pairs over the parts.
-4. Frequent pairs are ranked in turn, each part gets the ids of its own, and the sequence of pair ids is
-   counted by the same tiles: two overlapping pairs that follow one another are a phrase of three words.
+4. Each part learns which of its pairs are frequent, with their totals, and ranks them by those in turn; the
+   sequence of their ranks is counted by the same tiles: two overlapping pairs that follow one another are a
+   phrase of three words. Ranks are the part's own, so counts leave it under the pairs themselves.
 
 Nothing is broadcast and no dictionary is held whole: a task holds a part and the words or pairs
 of it. A hot word or pair is one row per part. Counts are whole: nothing is sampled or capped.
@@ -22,6 +23,7 @@ no rows; other columns are left out, whatever their names. A text longer than a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -29,19 +31,19 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from citeflow.llm.common import bound_batches, partitions_for, prepare, read, release, stored, text_blocks
+from citeflow.llm.common import bound_batches, prepare, read, release, stored, text_blocks
 from citeflow.operators.sampling import with_row_index
 from citeflow.session import reliable_checkpoint
 
 LEAST, NESTED, TOP = 10, 50, 2000
-PART_TOKENS = 4_000_000
-PART_BYTES = 64 << 20
+PART_TOKENS = 3_000_000
+PART_BYTES = 40 << 20
 TEXT_BYTES = 2 << 20
 SIDE, DENSE_IDS = 512, 2048
 #: a dense tile pays from this share of its cells
 FILLED = 1 / 16
 #: pairs of a part that wait to be sorted
-WAITING = 4_000_000
+WAITING = 1_000_000
 ROW_WORDS = 20_000
 
 # classes of bytes: 0 in a word, 1 between words, 2 between pieces
@@ -230,26 +232,26 @@ def _by_part(batches: Iterator[pa.RecordBatch], value) -> Iterator[tuple[int, ob
             if p != part:
                 part, head, made = p, [], None
             if ids is None:
-                head.append((np.frombuffer(keys, np.int64), np.frombuffer(to, np.int32)))
+                head.append((np.frombuffer(keys, np.int64), np.frombuffer(to, np.int64)))
                 continue
             if made is None:
-                made = value(np.concatenate([h[0] for h in head]) if head else np.zeros(0, np.int64),
-                             np.concatenate([h[1] for h in head]) if head else np.zeros(0, np.int32))
+                made = value(*(np.concatenate(x) for x in zip(*head))) if head else value(*[np.zeros(0, np.int64)] * 2)
+                head = []
             yield part, made, np.frombuffer(ids, np.int32)
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``part, key, id``, sorted by part, as one row of bytes for each part in a batch."""
+    """Rows ``part, key, value``, sorted by part, as one row of bytes for each part in a batch."""
     for batch in batches:
-        parts, keys, to = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("part", "key", "id"))
+        parts, keys, to = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("part", "key", "value"))
         at = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(parts)]
-        rows = [(int(parts[a]), None, keys[a:b].astype(np.int64).tobytes(), to[a:b].astype(np.int32).tobytes()) for a, b in zip(at, at[1:]) if b > a]
+        rows = [(int(parts[a]), None, keys[a:b].astype(np.int64).tobytes(), to[a:b].astype(np.int64).tobytes()) for a, b in zip(at, at[1:]) if b > a]
         kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["part", "ids", "keys", "to"])
 
 
 def _with_dictionaries(sequences: DataFrame, routed: DataFrame) -> DataFrame:
-    """Each part's dictionary rows (``part, key, id``, packed in the tasks that send them), then its sequences."""
+    """Each part's dictionary rows (``part, key, value``, packed in the tasks that send them), then its sequences."""
     packed = routed.sortWithinPartitions("part").mapInArrow(_packed, "part long, ids binary, keys binary, to binary")
     empty = F.lit(None).cast("binary")
     both = packed.unionByName(sequences.select("part", "ids", empty.alias("keys"), empty.alias("to")))
@@ -271,25 +273,35 @@ def _word_sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _count_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``part, pair, n``: pairs of the ids of frequent pairs that follow one another."""
-    def table(keys: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``head, tail, n``: frequent pairs of words that follow one another, overlapping in a word."""
+    def table(keys: np.ndarray, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         keys, first = np.unique(keys, return_index=True)
-        return keys, to[first]
-
-    last, tiles = None, PairTiles()
-    for part, (keys, to), ids in _by_part(batches, table):
+        by_rank = np.lexsort((keys, -totals[first]))
+        ranks = np.empty(len(keys), np.int32)
+        ranks[by_rank] = np.arange(len(keys), dtype=np.int32)
+        return keys, ranks, keys[by_rank]
+
+    def rows(ranked: np.ndarray, tiles: PairTiles) -> Iterator[pa.RecordBatch]:
+        pairs, counts = tiles.found()
+        for a in range(0, len(pairs), 1 << 18):
+            some = pairs[a:a + (1 << 18)]
+            yield pa.RecordBatch.from_arrays([pa.array(ranked[some >> 32]), pa.array(ranked[some & 0xFFFFFFFF]), pa.array(counts[a:a + (1 << 18)])],
+                                             ["head", "tail", "n"])
+
+    last, names, tiles = None, None, PairTiles()
+    for part, (keys, ranks, ranked), ids in _by_part(batches, table):
         if part != last and last is not None:
-            yield from _pair_rows(last, tiles)
+            yield from rows(names, tiles)
             tiles = PairTiles()
-        last = part
+        last, names = part, ranked
         if not len(keys) or len(ids) < 3:
             continue
         a, b = ids[:-1].astype(np.int64), ids[1:].astype(np.int64)
         pairs = np.where((a < 0) | (b < 0), -1, a << 32 | b)
         at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
-        tiles.add(np.where(keys[at] == pairs, to[at], -1))
+        tiles.add(np.where(keys[at] == pairs, ranks[at], -1))
     if last is not None:
-        yield from _pair_rows(last, tiles)
+        yield from rows(names, tiles)
 
 
 def _ranked(counts: DataFrame, keys: list[str]) -> DataFrame:
@@ -326,34 +338,32 @@ def candidates(docs: DataFrame, least: int = LEAST, nested: int = NESTED, text_c
     often = stored(_total(words, ["lang", "word"], least).select("part", "key", "lang", "word", "total"), "often")
     known = stored(_ranked(often.groupBy("lang", "word").agg(F.max("total").alias("n")), ["lang", "word"])
                    .withColumn("id", F.col("id").cast("int")), "words")
-    routed = often.join(known.select("lang", "word", "id"), ["lang", "word"]).select("part", "key", "id")
+    routed = often.join(known.select("lang", "word", "id"), ["lang", "word"]).select("part", "key", F.col("id").alias("value"))
     sequences = stored(_with_dictionaries(parts.where("ids IS NOT NULL"), routed).mapInArrow(_word_sequences, "part long, ids binary"), "sequences")
     release(parts)
     release(often)
     # one row per pair and part goes through the shuffle; of the frequent ones, each part learns its own
     some = _total(sequences.mapInArrow(_count_pairs, "part long, pair long, n long"), ["pair"], least)
-    some = stored(some.select("part", F.col("pair").alias("key"), "total"), "often-pairs")
-    pairs = stored(_ranked(some.groupBy("key").agg(F.max("total").alias("n")), ["key"]).withColumn("id", F.col("id").cast("int")), "pairs")
-    routed = some.join(pairs.select("key", "id"), "key").select("part", "key", "id")
-    triples = (_with_dictionaries(sequences, routed).mapInArrow(_count_triples, "part long, pair long, n long")
-               .groupBy("pair").agg(F.sum("n").alias("a")).where(F.col("a") >= least))
-    low = F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF))
-    triples = stored(triples.select(F.shiftright("pair", 32).cast("int").alias("head"), low.cast("int").alias("tail"), "a"), "triples")
+    some = stored(some.select("part", F.col("pair").alias("key"), F.col("total").alias("value")), "often-pairs")
+    triples = (_with_dictionaries(sequences, some).mapInArrow(_count_triples, "head long, tail long, n long")
+               .groupBy("head", "tail").agg(F.sum("n").alias("a")).where(F.col("a") >= least))
+    triples = stored(triples, "triples")
+    pairs = stored(some.groupBy("key").agg(F.max("value").alias("a")), "pairs")
     release(sequences)
     release(some)
 
-    pair = pairs.select("id", F.shiftright("key", 32).cast("int").alias("w1"),
-                        F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("w2"), F.col("n").alias("a"))
+    pair = pairs.select("key", F.shiftright("key", 32).cast("int").alias("w1"),
+                        F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("w2"), "a")
     word = lambda k: known.select(F.col("id").alias(f"w{k}"), F.col("word").alias(f"word{k}"), F.col("n").alias(f"n{k}"),
                                   *([F.col("lang")] if k == 1 else []))
     # a pair is nested if a phrase of three that holds it occurs nearly as often
-    holds = (triples.select(F.explode(F.array("head", "tail")).alias("id"), "a").groupBy("id").agg(F.max("a").alias("longer")))
-    two = pair.join(holds, "id", "left").where(F.col("longer").isNull() | (100 * F.col("longer") < nested * F.col("a")))
+    holds = (triples.select(F.explode(F.array("head", "tail")).alias("key"), "a").groupBy("key").agg(F.max("a").alias("longer")))
+    two = pair.join(holds, "key", "left").where(F.col("longer").isNull() | (100 * F.col("longer") < nested * F.col("a")))
     two = (two.join(word(1), "w1").join(word(2), "w2")
            .select("lang", F.concat_ws(" ", "word1", "word2").alias("phrase"), "a", F.col("n1").alias("l"), F.col("n2").alias("r"))
            .withColumn("score", _score("a", "l", "r")))
-    three = (triples.join(pair.select(F.col("id").alias("head"), "w1", "w2", F.col("a").alias("n12")), "head")
-             .join(pair.select(F.col("id").alias("tail"), F.col("w2").alias("w3"), F.col("a").alias("n23")), "tail")
+    three = (triples.join(pair.select(F.col("key").alias("head"), "w1", "w2", F.col("a").alias("n12")), "head")
+             .join(pair.select(F.col("key").alias("tail"), F.col("w2").alias("w3"), F.col("a").alias("n23")), "tail")
              .join(word(1), "w1").join(word(2), "w2").join(word(3), "w3")
              .withColumn("first", _score("a", "n1", "n23")).withColumn("second", _score("a", "n12", "n3")))
     early = F.col("first") <= F.col("second")
@@ -365,9 +375,10 @@ def candidates(docs: DataFrame, least: int = LEAST, nested: int = NESTED, text_c
 
 
 def best_phrases(found: DataFrame, top: int = TOP) -> DataFrame:
-    """The first ``top`` of each language with their ``rank``; a language is first cut in salted shares."""
+    """The first ``top`` of each language with their ``rank``. A language is first cut in salted shares, as many as
+    let a share and what all shares leave be of about one size. ``found`` is read twice: a stored table."""
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    salts = partitions_for(found.sparkSession, 16, 1)
+    salts = max(1, isqrt(found.count() // top))
     salted = found.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(salts)))
     some = salted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("rank") <= top)
     whole = F.row_number().over(Window.partitionBy("lang").orderBy(*order))

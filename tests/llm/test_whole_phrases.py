@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from llm_helpers import CLASHING, EDGES, LOWER, documents
 from citeflow.llm import phrases as P
+from citeflow.llm.common import stored
 
 
 def brute(rows, least=10, nested=50, top=2000):
@@ -37,6 +38,10 @@ def brute(rows, least=10, nested=50, top=2000):
             for i, (s, a, p, left, right) in enumerate(sorted(found)[:top], 1)}
 
 
+def whole(df, *more):
+    return stored(P.candidates(df, *more), "t")
+
+
 def result(df):
     rows = df.collect()
     out = {(r["lang"], r["rank"]): (r["phrase"], r["a"], r["l"], r["r"], r["n"], r["score"]) for r in rows}
@@ -98,19 +103,19 @@ def rows():
 def test_whole_results(spark, monkeypatch, rows, tokens):
     monkeypatch.setattr(P, "PART_TOKENS", tokens)
     df = documents(spark, rows).withColumns({c: F.lit("x") for c in CLASHING}).repartition(3)
-    got = result(P.best_phrases(P.candidates(df)))
+    got = result(P.best_phrases(whole(df)))
     assert got == brute([(r[1], r[2]) for r in rows])
     assert any(len(v[0].split(" ")) == 3 for v in got.values())
 
 
 def test_limits_and_ties(spark, rows):
-    got = result(P.best_phrases(P.candidates(documents(spark, rows), 3, 80), 7))
+    got = result(P.best_phrases(whole(documents(spark, rows), 3, 80), 7))
     assert got == brute([(r[1], r[2]) for r in rows], 3, 80, 7)
 
 
 def test_edges_and_nothing(spark):
-    assert P.best_phrases(P.candidates(documents(spark, EDGES))).count() == 1  # "word word word ..." nests its pairs
-    assert P.best_phrases(P.candidates(documents(spark, EDGES).where("doc_id < 0"))).count() == 0
+    assert P.best_phrases(whole(documents(spark, EDGES))).count() == 1  # "word word word ..." nests its pairs
+    assert P.best_phrases(whole(documents(spark, EDGES).where("doc_id < 0"))).count() == 0
 
 
 def test_scores_past_64_bits(spark):
