@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeflow import constants as K
+from citeflow.operators.compiled import CompiledModel, compiled
 from citeflow.operators.features import (feature_assembler, frequency_index, index_name,
                                          label_counts, label_names)
 from citeflow.session import scratch_path
@@ -142,6 +143,16 @@ def train_model(train: DataFrame, feature_model: PipelineModel, estimator) -> Pi
     return train_models(train, feature_model, [estimator])[0]
 
 
+def index_rows(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``df`` with the columns that the model's vector is assembled from, the vector left out."""
+    return PipelineModel(stages=[s for s in model.stages[:-1] if not isinstance(s, VectorAssembler)]).transform(df)
+
+
+def compiled_parts(model: PipelineModel) -> CompiledModel:
+    """The model's classifier as expressions over those columns."""
+    return compiled(model.stages[-1], next(s.getInputCols() for s in model.stages if isinstance(s, VectorAssembler)))
+
+
 def score(model: PipelineModel, df: DataFrame, target_class: int = K.TARGET_CLASS,
           decode: bool = True, compile_trees: bool = True) -> DataFrame:
     """Batch (or stream) scoring: prediction, class probability and label text.
@@ -150,11 +161,7 @@ def score(model: PipelineModel, df: DataFrame, target_class: int = K.TARGET_CLAS
     same numbers as the model's). With ``compile_trees=False`` the model itself scores
     assembled vectors, row by row."""
     if compile_trees and isinstance(model.stages[-1], (DecisionTreeClassificationModel, RandomForestClassificationModel)):
-        from citeflow.operators.compiled import compiled
-        *before, classifier = model.stages
-        slots = next(s.getInputCols() for s in before if isinstance(s, VectorAssembler))
-        indexed = PipelineModel(stages=[s for s in before if not isinstance(s, VectorAssembler)]).transform(df)
-        out = compiled(classifier, slots).transform(indexed)
+        out = compiled_parts(model).transform(index_rows(model, df))
         probs = F.col("probabilities")
     else:
         out = model.transform(df)

@@ -854,6 +854,90 @@ def q_shapley_additive(spark, sf_dir):
             .select("explained", "summons_number", "feature", (F.round("phi", 6) + 0.0).alias("phi")))
 
 
+@register("shapley_exact")
+def q_shapley_exact(spark, sf_dir):
+    """The rows of ``shapley_attribution`` explained exactly: leaf paths of the forest, no sampling."""
+    from citeflow.operators.tree_shapley import exact_attribution_table
+    f = _fitted(spark, sf_dir)
+    return exact_attribution_table(f.forest, _explained(spark, sf_dir), f.train, RAW_FEATURES)
+
+
+@register("shapley_exact_report", with_stages("cleaned_keyed", f"SELECT count(*) AS n_rows, 0 AS unequal FROM cleaned_keyed WHERE {TEST_SQL}"))
+def q_shapley_exact_report(spark, sf_dir):
+    """Every test row explained exactly: rows, and rows whose values do not sum to f(x) - base."""
+    from citeflow.operators.tree_shapley import exact_attribution_table
+    f = _fitted(spark, sf_dir)
+    rows = exact_attribution_table(f.forest, f.test, f.train, RAW_FEATURES)
+    gap = F.abs(F.aggregate("shap_values", F.lit(0.0), lambda a, x: a + x) - (F.col("probability") - F.col("base_value")))
+    return rows.agg(F.count("*").alias("n_rows"), F.count_if(gap > 1e-9).alias("unequal"))
+
+
+@register("shapley_exact_by_hour", _BY_HOUR_SQL.replace("SELECT summons_number, c.time_hour, prediction, predicted_label, round(p_target, 12) AS p_target", f"""
+    , back AS (SELECT avg(p_target) AS base FROM (SELECT time_hour FROM cleaned_keyed WHERE {TRAIN_SQL} ORDER BY time_hour LIMIT {K.BACKGROUND_ROWS}) x JOIN best USING (time_hour))
+    SELECT summons_number, round(p_target, 9) AS probability, round(base, 9) AS base_value, round(p_target - base, 9) + 0.0 AS phi""").replace(
+    "JOIN best b ON", "CROSS JOIN back JOIN best b ON"))
+def q_shapley_exact_by_hour(spark, sf_dir):
+    """The tree over the hour alone, every test row explained: its value is f(x) - base."""
+    from citeflow.operators.models import fit_feature_model, train_model, tree
+    from citeflow.operators.tree_shapley import exact_attribution_table
+    from citeflow.plans.batch_job import train_test
+    train, test = train_test(spark, sf_dir)
+    features = fit_feature_model(train, cols=[], features=HOUR)
+    model = train_model(train, features, tree(features, max_depth=13))
+    rows = exact_attribution_table(model, test.select("summons_number", K.TARGET, *HOUR), train, HOUR)
+    return rows.select("summons_number", F.round("probability", 9).alias("probability"), F.round("base_value", 9).alias("base_value"),
+                       (F.round(F.col("shap_values")[0], 9) + 0.0).alias("phi"))
+
+
+@register("shapley_kernel")
+def q_shapley_kernel(spark, sf_dir):
+    """The same rows by the kernel estimator at the original's budget: 50,000 coalitions against 100 rows."""
+    from citeflow.operators.kernel_shapley import kernel_attribution_table
+    f = _fitted(spark, sf_dir)
+    return kernel_attribution_table(f.forest, _explained(spark, sf_dir), f.train, RAW_FEATURES)
+
+
+#: how far an estimate at the full budget may be from the exact value
+KERNEL_TOLERANCE = 0.001
+
+
+@register("shapley_kernel_report", f"SELECT {K.EXPLAIN_ROWS} AS n_rows, {K.EXPLAIN_ROWS * len(RAW_FEATURES)} AS n_values, 0 AS too_far, 0 AS unequal")
+def q_shapley_kernel_report(spark, sf_dir):
+    """Kernel estimates against exact values: values further apart than ``KERNEL_TOLERANCE``, and rows
+    whose estimates do not sum to f(x) - base."""
+    from citeflow.operators.kernel_shapley import kernel_attribution_table
+    from citeflow.operators.tree_shapley import exact_attribution_table
+    f = _fitted(spark, sf_dir)
+    explained = _explained(spark, sf_dir)
+    exact = exact_attribution_table(f.forest, explained, f.train, RAW_FEATURES).select(*EXPLAINED_COLUMNS, F.col("shap_values").alias("exact"))
+    # keys may repeat; rows that are equal in all columns have equal values
+    exact = exact.dropDuplicates(EXPLAINED_COLUMNS)
+    rows = kernel_attribution_table(f.forest, explained, f.train, RAW_FEATURES).join(exact, EXPLAINED_COLUMNS)
+    far = F.zip_with("shap_values", "exact", lambda a, b: F.when(F.abs(a - b) > KERNEL_TOLERANCE, 1).otherwise(0))
+    gap = F.abs(F.aggregate("shap_values", F.lit(0.0), lambda a, x: a + x) - (F.col("probability") - F.col("base_value")))
+    return rows.agg(F.count("*").alias("n_rows"), F.sum(F.size("shap_values")).alias("n_values"),
+                    F.sum(F.aggregate(far, F.lit(0), lambda a, x: a + x)).alias("too_far"), F.count_if(gap > 1e-9).alias("unequal"))
+
+
+@register("shapley_kernel_additive", ORACLES["shapley_additive"])
+def q_shapley_kernel_additive(spark, sf_dir):
+    """The kernel estimator over the additive score: all coalitions of three features, so exact."""
+    from citeflow.operators.attribution import background_rows
+    from citeflow.operators.kernel_shapley import kernel_values
+    from citeflow.operators.sampling import with_row_index
+    from citeflow.session import reliable_checkpoint
+    f = _fitted(spark, sf_dir)
+    rows = reliable_checkpoint(_explained(spark, sf_dir).orderBy(*EXPLAINED_COLUMNS))
+    rows = reliable_checkpoint(with_row_index(rows, "explained"))
+    score = sum((F.col(c) * w for c, w in ADDITIVE.items()), F.lit(0.0))
+    names = list(ADDITIVE)
+    phi = kernel_values(lambda df: df.withColumn("v", score), rows, background_rows(f.train, names), names)
+    return (phi.join(rows.select("explained", "summons_number"), "explained")
+            .select("explained", "summons_number", F.posexplode("phi").alias("at", "phi"))
+            .select("explained", "summons_number", F.element_at(F.array(*[F.lit(c) for c in names]), F.col("at") + 1).alias("feature"),
+                    (F.round("phi", 6) + 0.0).alias("phi")))
+
+
 # ---------------------------------------------------------------- synthesis
 
 def _synth_source(spark, sf_dir):
