@@ -754,9 +754,38 @@ BAD_EVENT = "event_id % 10 = 3"
 def q_stream_invalid(spark, sf_dir):
     """Events as scoring messages, some of them broken or without a feature: what the stream's
     second sink holds, by the messages' keys. (The first sink holds all the others.)"""
-    from citeflow.streaming.scorer import (file_message_source, finish, invalid_messages, score_messages,
-                                           start_sink)
+    from citeflow.streaming.scorer import finish, invalid_messages, score_messages, start_sink
     f = _fitted(spark, sf_dir)
+    messages = _mixed_messages(spark, sf_dir)
+    good, bad = scratch_path(spark, "good"), scratch_path(spark, "bad")
+    finish([start_sink(score_messages(messages, f.forest, keep=["key"]), good, f"{good}-ckpt", available_now=True),
+            start_sink(invalid_messages(messages), bad, f"{bad}-ckpt", available_now=True)])
+    if spark.read.parquet(good).count() + spark.read.parquet(bad).count() != read_table(spark, sf_dir, "events").count():
+        raise RuntimeError("the two sinks do not hold every message once")
+    broken = F.col("value").startswith("not json ")
+    return spark.read.parquet(bad).select("key", F.when(broken, "bad").otherwise("lacks a feature").alias("reason"),
+                                          F.when(broken, F.col("value")).alias("value"))
+
+
+@register("stream_routed", f"""
+    SELECT CAST(event_id AS VARCHAR) AS key, CASE WHEN {BAD_EVENT} THEN 'bad' WHEN event_id % 10 = 7 THEN 'lacks a feature' ELSE 'scored' END AS outcome,
+           1 AS copies FROM events""")
+def q_stream_routed(spark, sf_dir):
+    """The same messages through one query that reads its source once and writes both sinks: where
+    each message is, and how often."""
+    from citeflow.streaming.scorer import finish, start_routed_sink
+    f = _fitted(spark, sf_dir)
+    good, bad = scratch_path(spark, "routed"), scratch_path(spark, "routed-bad")
+    finish([start_routed_sink(_mixed_messages(spark, sf_dir), f.forest, good, bad, f"{good}-ckpt", keep=["key"], available_now=True)])
+    broken = F.col("value").startswith("not json ")
+    rows = (spark.read.parquet(good).select("key", F.lit("scored").alias("outcome"))
+            .unionByName(spark.read.parquet(bad).select("key", F.when(broken, "bad").otherwise("lacks a feature").alias("outcome"))))
+    return rows.groupBy("key", "outcome").agg(F.count("*").alias("copies"))
+
+
+def _mixed_messages(spark, sf_dir):
+    """A stream of events as scoring messages, some of them broken or without a feature."""
+    from citeflow.streaming.scorer import file_message_source
     ev = read_table(spark, sf_dir, "events")
     fields = [(F.col("event_id") % (i + 2)).cast("string").alias(c) for i, c in enumerate(K.FEATURES)]
     lacking = F.to_json(F.struct(*fields[1:]))
@@ -765,15 +794,7 @@ def q_stream_invalid(spark, sf_dir):
     src = scratch_path(spark, "mixed-messages")
     ev.select(F.to_json(F.struct(F.col("event_id").cast("string").alias("key"), value.alias("value"))).alias("line")).write.text(src)
     source = file_message_source(spark, src, max_bytes_per_trigger=STREAM_BATCH_BYTES)
-    messages = source.select(F.from_json("value", "key string, value string").alias("m")).select("m.*")
-    good, bad = scratch_path(spark, "good"), scratch_path(spark, "bad")
-    finish([start_sink(score_messages(messages, f.forest, keep=["key"]), good, f"{good}-ckpt", available_now=True),
-            start_sink(invalid_messages(messages), bad, f"{bad}-ckpt", available_now=True)])
-    if spark.read.parquet(good).count() + spark.read.parquet(bad).count() != ev.count():
-        raise RuntimeError("the two sinks do not hold every message once")
-    broken = F.col("value").startswith("not json ")
-    return spark.read.parquet(bad).select("key", F.when(broken, "bad").otherwise("lacks a feature").alias("reason"),
-                                          F.when(broken, F.col("value")).alias("value"))
+    return source.select(F.from_json("value", "key string, value string").alias("m")).select("m.*")
 
 
 @register("stream_scan", """

@@ -120,10 +120,12 @@ def stream_job(spark: SparkSession, model_path: str, output_path: str | None, ch
     else:
         messages = S.file_message_source(spark, files, max_bytes_per_trigger=batch_bytes)
     keep = [c for c in messages.columns if c == "key"]
-    scored = S.score_messages(messages, model, keep=keep)
-    bad = S.invalid_messages(messages)
     if invalid_path is None and output_path is not None:
         invalid_path = f"{output_path}-invalid"
+    if output_path is not None:  # files: one read of the source for both sinks
+        return [S.start_routed_sink(messages, model, output_path, invalid_path, checkpoint, keep=keep,
+                                    available_now=available_now, trigger=trigger, fmt=fmt)]
+    scored, bad = S.score_messages(messages, model, keep=keep), S.invalid_messages(messages)
     return [S.start_sink(scored, output_path, checkpoint, available_now=available_now, trigger=trigger, fmt=fmt),
             S.start_sink(bad, invalid_path, f"{checkpoint}-invalid", available_now=available_now,
                          trigger=trigger, fmt=fmt)]

@@ -160,3 +160,39 @@ def test_kafka_source_options_and_missing_connector(spark):
         assert "kafka" in str(e).lower()
     else:
         assert src.isStreaming and src.columns == ["value"]
+
+
+def test_one_read_two_sinks_and_a_failure_between(spark, sf_small):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    from citeflow.streaming.scorer import finish, start_routed_sink
+    f = fit_all(spark, sf_small, num_trees=5)
+    rows = [(f"k{i}", r["value"]) for i, r in enumerate(to_messages(f.features.transform(f.test).select(*K.FEATURES).limit(60), key=False).collect())]
+    rows += [(f"x{i}", "not json" if i % 2 else '{"month": "1"}') for i in range(40)]
+    src = scratch_path(spark, "t-routed-src")
+    (spark.createDataFrame(rows, "key string, value string").repartition(5)
+     .select(F.to_json(F.struct("key", "value"))).write.text(src))
+    good, bad, ckpt = (scratch_path(spark, n) for n in ("t-good", "t-bad", "t-routed-ckpt"))
+
+    def start(**more):
+        lines = file_message_source(spark, src, max_files_per_trigger=1)
+        messages = lines.select(F.from_json("value", "key string, value string").alias("m")).select("m.*")
+        return start_routed_sink(messages, f.forest, good, bad, ckpt, keep=["key"], available_now=True, **more)
+
+    def fail(batch_id):
+        if batch_id == 2:
+            raise RuntimeError("between the writes")
+
+    with pytest.raises(StreamingQueryException):
+        finish([start(after_good=fail)])
+    assert spark.read.parquet(good).select("batch_id").distinct().count() == 3  # one sink is ahead
+    query = start()
+    finish([query])
+    assert sum(p["numInputRows"] for p in query.recentProgress) <= len(rows)  # each message is read once
+    scored, rest = (spark.read.parquet(p) for p in (good, bad))
+    assert sorted(r["key"] for r in scored.collect()) == sorted(k for k, _ in rows if k[0] == "k")
+    assert sorted((r["key"], r["value"]) for r in rest.collect()) == sorted(r for r in rows if r[0][0] == "x")
+    batch = score_messages(spark.createDataFrame(rows, "key string, value string"), f.forest, keep=["key"])
+    assert sorted(scored.drop("batch_id").collect()) == sorted(batch.collect())
+    finish([start()])  # nothing new: nothing is added
+    assert spark.read.parquet(good).count() == scored.count()
