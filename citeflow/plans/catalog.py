@@ -996,3 +996,85 @@ def q_synth_quality(spark, sf_dir):
     src = _synth_source(spark, sf_dir)
     return batch_quality(synthesize(src, K.BATCHES, K.SYNTH_LINES, seed=42), src, K.BATCHES,
                          K.SYNTH_LINES)
+
+
+#: columns whose pairs a line must share with some row: two the chain does not draw from one another
+VALID_PAIRS = [("plate_type", "vehicle_make"), ("issuer_precinct", "violation_county"), ("meridiem", "violation_county")]
+
+
+def _chain_sql(tail: str, rounds: int = 1, pairs=()) -> str:
+    """The chain of ``operators/chain_synthesis`` in SQL: every column's draw given the two before it, for
+    all slots and rounds; then the first valid round of each slot."""
+    from citeflow.operators.chain_synthesis import LEAST
+    from citeflow.operators.synthesis import draw_sql
+    out = [", src AS (SELECT " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in K.CLEANED_COLUMNS) + " FROM cleaned)"]
+    for i, (a, b) in enumerate(pairs):
+        out.append(f", ok{i} AS (SELECT DISTINCT {a} AS a, {b} AS b FROM src)")
+    for b, cols in enumerate(K.BATCHES):
+        out.append(f", l{b}_0 AS (SELECT draw % {K.SYNTH_LINES} AS slot, draw FROM range({K.SYNTH_LINES * rounds}) r(draw))")
+        for k, c in enumerate(cols):
+            before = cols[max(0, k - 2):k][::-1]  # the nearest first
+            picks, joins = [], []
+            for level in range(len(before) + 1):
+                keys = before[:level]
+                group = ", ".join([*keys, c])
+                part = f"PARTITION BY {', '.join(keys)}" if keys else ""
+                name = f"t{b}_{k}_{level}"
+                out.append(f", {name} AS (SELECT {group}, n, sum(n) OVER ({part}) AS total, sum(n) OVER ({part} ORDER BY {c} NULLS FIRST ROWS UNBOUNDED PRECEDING) - n AS lo"
+                           f" FROM (SELECT {group}, count(*) AS n FROM src GROUP BY {group}))")
+                if level:
+                    same = " AND ".join(f"x{level}.{x} IS NOT DISTINCT FROM d.{x}" for x in keys)
+                    joins.append(f"LEFT JOIN (SELECT DISTINCT {', '.join(keys)}, true AS ok FROM {name} WHERE total >= {LEAST}) x{level} ON {same}")
+            level_sql = "CASE " + " ".join(f"WHEN x{lv}.ok THEN {lv}" for lv in range(len(before), 0, -1)) + " ELSE 0 END" if before else "0"
+            out.append(f", u{b}_{k} AS (SELECT d.*, {draw_sql('d.draw', b * 1000 + k, 42)} AS u, {level_sql} AS level FROM l{b}_{k} d {' '.join(joins)})")
+            for level in range(len(before) + 1):
+                same = "".join(f" AND t.{x} IS NOT DISTINCT FROM d.{x}" for x in before[:level])
+                picks.append(f"SELECT d.* EXCLUDE (u, level), t.{c} FROM u{b}_{k} d JOIN t{b}_{k}_{level} t ON d.level = {level}{same} AND d.u % t.total >= t.lo AND d.u % t.total < t.lo + t.n")
+            out.append(f", l{b}_{k + 1} AS ({' UNION ALL '.join(picks)})")
+        checks = [f"EXISTS (SELECT 1 FROM ok{i} WHERE ok{i}.a IS NOT DISTINCT FROM l.{x} AND ok{i}.b IS NOT DISTINCT FROM l.{y})"
+                  for i, (x, y) in enumerate(pairs) if x in cols and y in cols]
+        out.append(f", v{b} AS (SELECT *, {' AND '.join(checks) or 'true'} AS valid FROM l{b}_{len(cols)} l)")
+        out.append(f", g{b} AS (SELECT * FROM v{b} WHERE valid QUALIFY row_number() OVER (PARTITION BY slot ORDER BY draw) = 1)")
+    return with_stages("cleaned", "".join(out) + "\n" + tail)
+
+
+def _as_text(df: DataFrame, *keep: str) -> DataFrame:
+    return df.select(*keep, *[F.col(c).cast("string").alias(c) for c in K.CLEANED_COLUMNS])
+
+
+@register("synthesize_chain", _chain_sql(f"SELECT g0.slot AS draw_id, {_cols(K.CLEANED_COLUMNS)} FROM g0 JOIN g1 ON g0.slot = g1.slot"))
+def q_synthesize_chain(spark, sf_dir):
+    """2,000 rows by the conditional chain, each column given the two before it: rows that need not
+    exist in the source (values as text)."""
+    from citeflow.operators.chain_synthesis import synthesize_valid
+    return _as_text(synthesize_valid(_synth_source(spark, sf_dir))[0], "draw_id")
+
+
+@register("synth_unseen", _chain_sql(" UNION ALL ".join(
+    f"SELECT {b} AS batch, count(*) AS generated, count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM src WHERE "
+    + " AND ".join(f"src.{c} IS NOT DISTINCT FROM g{b}.{c}" for c in cols) + f")) AS unseen FROM g{b}" for b, cols in enumerate(K.BATCHES))))
+def q_synth_unseen(spark, sf_dir):
+    """Per batch: lines that the chain made, and those that no source row holds."""
+    from citeflow.operators.chain_synthesis import synthesize_valid, unseen_share
+    src = _synth_source(spark, sf_dir)
+    return unseen_share(synthesize_valid(src)[0], src)
+
+
+@register("synth_status", _chain_sql(" UNION ALL ".join(
+    f"SELECT {b} AS batch, {K.SYNTH_LINES} AS requested, {K.SYNTH_LINES} + redrawn AS generated, valid, redrawn, {K.SYNTH_LINES} - valid AS short FROM "
+    f"(SELECT count(*) AS valid FROM g{b}), (SELECT coalesce(sum(CASE WHEN first IS NULL THEN 3 ELSE first // {K.SYNTH_LINES} END), 0) AS redrawn FROM "
+    f"(SELECT slot, min(draw) FILTER (WHERE valid) AS first FROM v{b} GROUP BY slot))" for b in range(len(K.BATCHES))), 4, VALID_PAIRS))
+def q_synth_status(spark, sf_dir):
+    """Per batch: lines requested, generated in all rounds, valid, drawn again, and still short after
+    four rounds, with a validator over pairs of columns."""
+    from citeflow.operators.chain_synthesis import pair_validator, synthesize_valid
+    src = _synth_source(spark, sf_dir)
+    return synthesize_valid(src, pair_validator(src, VALID_PAIRS))[1]
+
+
+@register("synthesize_valid", _chain_sql(f"SELECT g0.slot AS draw_id, {_cols(K.CLEANED_COLUMNS)} FROM g0 JOIN g1 ON g0.slot = g1.slot", 4, VALID_PAIRS))
+def q_synthesize_valid(spark, sf_dir):
+    """Rows of the chain that the validator accepts, invalid lines drawn again up to four times."""
+    from citeflow.operators.chain_synthesis import pair_validator, synthesize_valid
+    src = _synth_source(spark, sf_dir)
+    return _as_text(synthesize_valid(src, pair_validator(src, VALID_PAIRS))[0], "draw_id")
