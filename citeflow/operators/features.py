@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeflow import constants as K
+from citeflow.operators.joined_index import JoinedIndexer
 from citeflow.operators.sampling import with_row_index
 from citeflow.session import ensure_checkpoint_dir
 
@@ -72,8 +73,9 @@ def fitted_labels(model: PipelineModel) -> dict[str, list[str]]:
 
 
 def label_counts(model: PipelineModel, label_col: str = "label") -> dict[str, int]:
-    """Number of labels per indexed feature column."""
-    return {c: len(v) for c, v in fitted_labels(model).items() if c != label_col}
+    """Number of labels per nominal feature column, indexed by labels or by joins."""
+    joined = {c: n for s in model.stages if isinstance(s, JoinedIndexer) for c, n in s.categories().items()}
+    return {c: len(v) for c, v in fitted_labels(model).items() if c != label_col} | joined
 
 
 def label_names(model: PipelineModel, label_col: str = "label") -> list[str]:

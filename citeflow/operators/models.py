@@ -28,13 +28,15 @@ from citeflow import constants as K
 from citeflow.operators.compiled import CompiledModel, compiled
 from citeflow.operators.features import (feature_assembler, frequency_index, index_name,
                                          label_counts, label_names)
+from citeflow.operators.joined_index import JoinedIndexer
 from citeflow.session import scratch_path
 
 
 def fit_feature_model(train: DataFrame, cols: Sequence[str] = K.CATEGORY_COLUMNS,
                       target: str = K.TARGET,
                       ordered: Sequence[str] = (), most_bins: int = K.MAX_BINS,
-                      index_path: str | None = None, features: Sequence[str] = K.FEATURES) -> PipelineModel:
+                      index_path: str | None = None, features: Sequence[str] = K.FEATURES,
+                      joined: Sequence[str] = ()) -> PipelineModel:
     """Fit the category indices on training rows; assemble the 17 features (or ``features``: the
     indices of ``cols`` and numeric columns).
 
@@ -47,6 +49,8 @@ def fit_feature_model(train: DataFrame, cols: Sequence[str] = K.CATEGORY_COLUMNS
     against the stored table inside a ``SQLTransformer`` (a standard, saveable
     stage, see ``sources.models.save_model``): their labels never pass through
     the driver, and the tree sees their frequency rank as an ordered feature.
+    Columns listed as ``joined`` are joined in the same way, and the index column is marked nominal
+    (``operators.joined_index``): trees split them as categories, and the driver sees no label of theirs.
     Unseen or null values get the extra last index in both cases.
     """
     spark = train.sparkSession
@@ -54,9 +58,10 @@ def fit_feature_model(train: DataFrame, cols: Sequence[str] = K.CATEGORY_COLUMNS
     frequency_index(train, list(cols) + [target]).write.mode("overwrite").parquet(path)
     table = spark.read.parquet(path)
     sizes = {r["column_name"]: r["count"] for r in table.groupBy("column_name").count().collect()}
-    narrow = [c for c in cols if c not in ordered]
+    narrow = [c for c in cols if c not in ordered and c not in joined]
     wide = [c for c in cols if c in ordered]
-    for c in [*narrow, target]:
+    nominal = [c for c in cols if c in joined and c not in ordered]
+    for c in [*narrow, *nominal, target]:
         if categories(sizes.get(c, 0)) > most_bins:
             raise ValueError(f"column {c} has {sizes[c]} values, more than {most_bins} categories with "
                              "the one for unseen values; list it in `ordered` or raise `most_bins`")
@@ -83,6 +88,9 @@ def fit_feature_model(train: DataFrame, cols: Sequence[str] = K.CATEGORY_COLUMNS
                 handleInvalid="keep"))
     stages.append(StringIndexerModel.from_labels(labels[target], inputCol=target, outputCol="label",
                                                  handleInvalid="keep"))
+    if nominal:
+        stages.append(JoinedIndexer(inputCols=nominal, outputCols=[index_name(c) for c in nominal],
+                                    sizes=[sizes.get(c, 0) for c in nominal], table=path))
     if wide:
         src = path.replace("`", "``")
         outs, joins = [], []

@@ -531,6 +531,16 @@ def q_fit_features(spark, sf_dir):
     return rows.select("summons_number", *INDEX_COLUMNS, "label")
 
 
+@register("fit_features_joined", ORACLES["fit_features"])
+def q_fit_features_joined(spark, sf_dir):
+    """The same table with every category column joined with the stored index, its labels nowhere
+    on the driver."""
+    from citeflow.operators.models import fit_feature_model
+    rows = _whole(spark, sf_dir)
+    model = fit_feature_model(rows, joined=K.CATEGORY_COLUMNS)
+    return model.transform(rows).select("summons_number", *INDEX_COLUMNS, "label")
+
+
 @register("train_forest")
 def q_train_forest(spark, sf_dir):
     f = _fitted(spark, sf_dir)

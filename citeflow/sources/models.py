@@ -9,6 +9,7 @@ from pyspark.ml.classification import DecisionTreeClassificationModel, RandomFor
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import SparkSession
 
+from citeflow.operators.joined_index import JoinedIndexer
 from citeflow.sources.tables import resolve_path
 
 INDEX_TABLE = re.compile(r"parquet\.`((?:[^`]|``)+)`")
@@ -23,14 +24,19 @@ def save_model(model: Model, path: str) -> str:
         spark = SparkSession.getActiveSession()
         moved: dict[str, str] = {}
         stages = []
+
+        def kept(source: str) -> str:
+            if source not in moved:
+                moved[source] = f"{target}-tables/{len(moved)}"
+                spark.read.parquet(source.replace("``", "`")).write.mode("overwrite").parquet(moved[source])
+            return moved[source]
+
         for stage in model.stages:
+            if isinstance(stage, JoinedIndexer):
+                stage = stage.copy({stage.table: kept(stage.getOrDefault("table"))})
             if isinstance(stage, SQLTransformer):
-                for source in INDEX_TABLE.findall(stage.getStatement()):
-                    if source not in moved:
-                        moved[source] = f"{target}-tables/{len(moved)}"
-                        spark.read.parquet(source.replace("``", "`")).write.mode("overwrite").parquet(moved[source])
                 stage = SQLTransformer(statement=INDEX_TABLE.sub(
-                    lambda m: "parquet.`" + moved[m[1]].replace("`", "``") + "`", stage.getStatement()))
+                    lambda m: "parquet.`" + kept(m[1]).replace("`", "``") + "`", stage.getStatement()))
             stages.append(stage)
         model = PipelineModel(stages=stages)
     model.write().overwrite().save(target)
