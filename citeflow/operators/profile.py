@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
@@ -98,6 +98,21 @@ def missing_audit(df: DataFrame) -> DataFrame:
     return df.agg(*[F.count_if(_missing_condition(df, c)).alias(c) for c in df.columns])
 
 
+def observe_audit(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """``df`` that counts its rows and audits its columns while something else runs over it (a write):
+    no pass of its own. Read the metrics with ``observed_audit`` when that has ended."""
+    seen = Observation(name)
+    conditions = [F.count_if(_missing_condition(df, c)).alias(f"missing{i}") for i, c in enumerate(df.columns)]
+    return df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *conditions), seen
+
+
+def observed_audit(df: DataFrame, seen: Observation, stage: str) -> list[tuple[str, str, int, int]]:
+    """``(stage, column_name, missing, n_rows)`` for every column: the same numbers as ``missing_audit``
+    and ``row_count`` give."""
+    got = seen.get
+    return [(stage, c, got[f"missing{i}"], got["n_rows"]) for i, c in enumerate(df.columns)]
+
+
 def column_corr(df: DataFrame, a: str, b: str, nulls_as_zero: bool = True,
                 name: str = "corr", digits: int = 10) -> DataFrame:
     """Pearson correlation as a one-row aggregate.

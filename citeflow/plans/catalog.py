@@ -26,7 +26,7 @@ from citeflow.plans.oracles import with_stages
 from citeflow.session import scratch_path
 from citeflow.sources import messages as M
 from citeflow.sources.fixture import CITATION_COLUMNS, citations
-from citeflow.sources.tables import read_csv, read_table, write_csv
+from citeflow.sources.tables import ingest_csv, read_csv, read_table, write_csv
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -110,6 +110,34 @@ def q_csv_sink(spark, sf_dir):
     return read_csv(spark, path, schema=out.schema)
 
 
+@register("csv_single_file", with_stages("cleaned", "SELECT *, 1 AS n_files FROM cleaned"))
+def q_csv_single_file(spark, sf_dir):
+    """Cleaned table as one CSV file, joined from the parts that all tasks wrote, read back."""
+    out = cleaned(spark, sf_dir)
+    path = write_csv(out, scratch_path(spark, "csv_single"), single_file=True)
+    back = read_csv(spark, path, schema=out.schema)
+    return back.withColumn("n_files", F.lit(len(back.inputFiles())))
+
+
+#: lines with too few fields, a field that is no number, too many fields
+LINE_SQL = ("CASE WHEN event_id % 10 = 3 THEN concat_ws(',', CAST(event_id AS {t}), CAST(user_id AS {t})) "
+            "WHEN event_id % 10 = 5 THEN concat_ws(',', concat('x', CAST(event_id AS {t})), CAST(user_id AS {t}), event_type) "
+            "WHEN event_id % 10 = 7 THEN concat_ws(',', CAST(event_id AS {t}), CAST(user_id AS {t}), event_type, 'more') "
+            "ELSE concat_ws(',', CAST(event_id AS {t}), CAST(user_id AS {t}), event_type) END")
+
+
+@register("csv_quarantine", "SELECT CASE WHEN bad THEN NULL ELSE event_id END AS event_id, CASE WHEN bad THEN NULL ELSE user_id END AS user_id, "
+          "CASE WHEN bad THEN NULL ELSE event_type END AS event_type, CASE WHEN bad THEN line END AS line FROM "
+          f"(SELECT *, event_id % 10 IN (3, 5, 7) AS bad, {LINE_SQL.format(t='VARCHAR')} AS line FROM events)")
+def q_csv_quarantine(spark, sf_dir):
+    """Events as CSV lines, some of them short, long or not numbers, scanned once into two tables:
+    good rows, and bad lines as they came."""
+    path = scratch_path(spark, "csv-lines")
+    read_table(spark, sf_dir, "events").select(F.expr(LINE_SQL.format(t="STRING")).alias("line")).write.text(path)
+    good, bad = ingest_csv(spark, path, "event_id long, user_id long, event_type string", scratch_path(spark, "ingested"), header=False)
+    return good.withColumn("line", F.lit(None).cast("string")).unionByName(bad.select("line"), allowMissingColumns=True)
+
+
 @register("publish_json", with_stages("cleaned", "SELECT " + ", ".join(
     f"CAST({c} AS VARCHAR) AS {c}" for c in K.CLEANED_COLUMNS) + ", CAST(violation_county AS VARCHAR) AS key_county, true AS key_is_value FROM cleaned"))
 def q_publish_json(spark, sf_dir):
@@ -343,6 +371,20 @@ def q_missing_audit(spark, sf_dir):
     return P.missing_audit(fixture(spark, sf_dir))
 
 
+def _observed_sql(stage: str, name: str, cols) -> str:
+    audits = " UNION ALL ".join(f"SELECT '{c}' AS column_name, {_audit_sql(c).rsplit(' AS ', 1)[0]} AS missing, count(*) AS n_rows FROM {stage}" for c in cols)
+    return f"SELECT '{name}' AS stage, * FROM ({audits})"
+
+
+@register("clean_observed", with_stages("cleaned", _observed_sql("citations", "raw", CITATION_COLUMNS) + " UNION ALL "
+                                        + _observed_sql("cleaned", "cleaned", K.CLEANED_COLUMNS)))
+def q_clean_observed(spark, sf_dir):
+    """Rows and missing values of the raw and the cleaned table, gathered while the clean is written."""
+    from citeflow.plans.jobs import clean_observed
+    from citeflow.sources.tables import write_parquet
+    return clean_observed(fixture(spark, sf_dir), lambda df: write_parquet(df, scratch_path(spark, "observed")))[1]
+
+
 @register("column_corr", with_stages("blanks_nulled", """
     SELECT round(corr(coalesce(CAST(violation_location AS DOUBLE), 0.0),
                       coalesce(CAST(violation_precinct AS DOUBLE), 0.0)), 10) AS corr

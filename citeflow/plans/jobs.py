@@ -19,6 +19,7 @@ Usage::
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 from citeflow import constants as K
 from citeflow.operators import models as MD
 from citeflow.operators.clean import CLEANED_SCHEMA, CleanOptions, clean_citations
-from citeflow.operators.profile import describe_stats, missing_audit, row_count, value_share
+from citeflow.operators.profile import describe_stats, missing_audit, observe_audit, observed_audit, row_count, value_share
 from citeflow.operators.sampling import key_split, limit_stable, random_split
 from citeflow.sources.messages import to_messages
 from citeflow.sources.models import load_model, save_model
@@ -37,22 +38,44 @@ from citeflow.streaming import scorer as S
 
 def clean_job(spark: SparkSession, input_path: str, output_path: str, fmt: str = "csv",
               single_file: bool = False,
-              options: CleanOptions = CleanOptions()) -> DataFrame:
+              options: CleanOptions = CleanOptions(), audit_path: str | None = None) -> DataFrame:
     """Raw export -> cleaned 18-column table, written to ``output_path``.
 
     The raw header is standardized, so exports with spaces, trailing spaces or
-    the misspelt header read the same. Written in parallel unless
-    ``single_file`` (then repartitioned to one task after the clean).
+    the misspelt header read the same. Written in parallel, also as a ``single_file`` (CSV).
+    With ``audit_path`` the rows and missing values of raw and cleaned table are gathered
+    while the clean is written (one scan) and stored there as CSV.
     """
     raw = read_raw_export(spark, input_path)
-    cleaned = clean_citations(raw, options)
+
+    def write(df: DataFrame) -> None:
+        if fmt == "parquet":
+            write_parquet(df.repartition(1) if single_file else df, output_path)
+        else:
+            write_csv(df, output_path, single_file=single_file)
+
+    if audit_path:
+        cleaned, report = clean_observed(raw, write, options)
+        write_csv(report, audit_path)
+    else:
+        cleaned = clean_citations(raw, options)
+        write(cleaned)
     if fmt == "parquet":
-        write_parquet(cleaned.repartition(1) if single_file else cleaned, output_path)
         return spark.read.parquet(resolve_path(output_path))
-    write_csv(cleaned, output_path, single_file=single_file)
     return read_csv(spark, output_path, schema=cleaned.schema)
 
 
+def clean_observed(raw: DataFrame, write: Callable[[DataFrame], None],
+                   options: CleanOptions = CleanOptions()) -> tuple[DataFrame, DataFrame]:
+    """The cleaned table, after ``write`` has written it, and ``stage, column_name, missing, n_rows`` of
+    the raw and the cleaned table, gathered in the one pass of that write."""
+    raw, before = observe_audit(raw, "raw")
+    cleaned, after = observe_audit(clean_citations(raw, options), "cleaned")
+    write(cleaned)
+    rows = observed_audit(raw, before, "raw") + observed_audit(cleaned, after, "cleaned")
+    return cleaned, raw.sparkSession.createDataFrame(rows, "stage string, column_name string, missing long, n_rows long")
+
+
 def read_cleaned(spark: SparkSession, path: str, fmt: str = "csv", keep: tuple[str, ...] = ()) -> DataFrame:
     """A cleaned table written by ``clean_job`` in the same format; ``keep`` names the extra
     whole-number columns it was written with (a CSV's header tells where they stand)."""
@@ -157,6 +180,7 @@ def main(argv=None) -> None:
     c.add_argument("--format", default="csv", choices=["csv", "parquet"])
     c.add_argument("--single-file", action="store_true")
     c.add_argument("--keep", nargs="*", default=[])
+    c.add_argument("--audit")
     t = sub.add_parser("train")
     t.add_argument("--input", required=True)
     t.add_argument("--model")
@@ -191,7 +215,7 @@ def main(argv=None) -> None:
     keep = (args.key,) if getattr(args, "key", None) else ()
     if args.job == "clean":
         clean_job(spark, args.input, args.output, fmt=args.format, single_file=args.single_file,
-                  options=CleanOptions(keep=tuple(args.keep)))
+                  options=CleanOptions(keep=tuple(args.keep)), audit_path=args.audit)
     elif args.job == "train":
         table = read_cleaned(spark, args.input, args.format, keep)
         train_job(spark, table, args.model, key=args.key).show(truncate=False)

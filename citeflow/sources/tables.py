@@ -6,6 +6,8 @@ longer exists in current Hadoop, so it is rewritten to ``s3a``).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -114,17 +116,88 @@ def read_raw_export(spark: SparkSession, path: str) -> DataFrame:
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False,
               header: bool = True, exact: bool = False) -> str:
     """CSV sink with a header. Parallel by default (one file per task). With
-    ``single_file`` the cleaned result is repartitioned to one task *after* the
-    clean, so the scan and clean keep their parallelism (a bare ``coalesce(1)``
-    would pull the whole upstream stage into one task)."""
-    out = df.repartition(1) if single_file else df
-    writer = out.write.mode(mode).option("header", str(header).lower())
-    if exact:
-        writer = writer.options(quoteAll="true", escape='"', **KEEP_SPACE)
-    writer.csv(resolve_path(path))
+    ``single_file`` the tasks write their parts all the same; the files are then joined into
+    one behind one header (``join_files``), so no task sees all rows."""
+    options = {"quoteAll": "true", "escape": '"', **KEEP_SPACE} if exact else {}
+    if not single_file:
+        df.write.mode(mode).option("header", str(header).lower()).options(**options).csv(resolve_path(path))
+        return path
+    from citeflow.session import scratch_path
+    spark = df.sparkSession
+    parts, names = scratch_path(spark, "csv-parts"), scratch_path(spark, "csv-header")
+    df.write.options(**options).csv(parts)
+    folders = [parts]
+    if header:  # a row of the names, quoted as values are
+        row = spark.createDataFrame([tuple(df.columns)], ", ".join(f"_{i} string" for i in range(len(df.columns))))
+        row.coalesce(1).write.options(**options).csv(names)
+        folders.insert(0, names)
+    return join_files(spark, folders, path, mode)
+
+
+def join_files(spark: SparkSession, folders: list[str], path: str, mode: str = "overwrite") -> str:
+    """The part files of ``folders``, in order, as one file in the folder ``path``. All tasks have written
+    the rows; here bytes are put one behind the other: by the file system itself where it can
+    (HDFS), else through a buffer of 1 MB. The parts are deleted when the file stands."""
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    folder = hadoop.fs.Path(resolve_path(path))
+    fs = folder.getFileSystem(conf)
+    if fs.exists(folder):
+        if mode == "ignore":
+            return path
+        if mode == "overwrite":
+            fs.delete(folder, True)
+        elif mode != "append":
+            raise FileExistsError(path)
+    sources = []
+    for f in folders:
+        p = hadoop.fs.Path(f)
+        found = [x.getPath() for x in p.getFileSystem(conf).listStatus(p) if x.getPath().getName().startswith("part-") and x.getLen()]
+        sources += sorted(found, key=lambda x: x.getName())
+    target = hadoop.fs.Path(folder, f"part-{uuid.uuid4().hex[:8]}.csv")
+    out = fs.create(target, True)
+    if fs.getScheme() == "hdfs" and sources and all(p.getFileSystem(conf).getUri().equals(fs.getUri()) for p in sources):
+        out.close()
+        blocks = spark.sparkContext._gateway.new_array(hadoop.fs.Path, len(sources))
+        for i, p in enumerate(sources):
+            blocks[i] = p
+        fs.concat(target, blocks)  # moves blocks, no bytes
+    else:
+        try:
+            for p in sources:
+                part = p.getFileSystem(conf).open(p)
+                try:
+                    hadoop.io.IOUtils.copyBytes(part, out, 1 << 20, False)
+                finally:
+                    part.close()
+        finally:
+            out.close()
+    for f in folders:
+        p = hadoop.fs.Path(f)
+        p.getFileSystem(conf).delete(p, True)
     return path
 
 
+def ingest_csv(spark: SparkSession, path: str, schema: StructType | str, out: str, header: bool = True,
+               exact: bool = False) -> tuple[DataFrame, DataFrame]:
+    """CSV lines into two tables from one scan: ``(good, bad)``. Lines with too few or too many fields, or with a
+    field that is not of its type, are bad: ``line`` (as it came) and ``source_file``. Good rows have
+    the schema's columns. Both are written below ``out`` (the folder is replaced) and read back."""
+    from pyspark.sql import functions as F
+    fields = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    kept = "_line"
+    reader = (spark.read.option("header", str(header).lower()).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", kept)
+              .schema(StructType(list(fields)).add(kept, "string")))
+    if exact:
+        reader = reader.options(multiLine="true", escape='"', **KEEP_SPACE)
+    rows = reader.csv(resolve_path(path))
+    rows = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col(kept).isNotNull().alias("_bad"))
+    rows.write.mode("overwrite").partitionBy("_bad").parquet(resolve_path(out))
+    whole = StructType(list(fields)).add(kept, "string").add("_file", "string").add("_bad", "boolean")
+    both = spark.read.schema(whole).parquet(resolve_path(out))
+    return (both.where("NOT _bad").select(*[f"`{f.name}`" for f in fields]),
+            both.where("_bad").select(F.col(kept).alias("line"), F.col("_file").alias("source_file")))
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     df.write.mode(mode).parquet(resolve_path(path))
     return path
