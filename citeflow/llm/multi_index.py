@@ -208,12 +208,15 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, id_col
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"), is_query.alias("query"))
     common = rows.where("vec is not null").groupBy(F.size("vec").alias("size")).count().orderBy(F.desc("count"), "size").first()
     size = int(common["size"]) if common else 0
+    if size == 1:  # a second component of zero changes no inner product, and there are two halves
+        rows = rows.where(F.size("vec") == 1).withColumn("vec", F.concat("vec", F.array(F.lit(0.0))))
+        size = 2
     found = "query_id long, rank int, vec_id long, score double"
     rows = stored(rows.mapInArrow(_valid(size), "id long, vec binary, query boolean"), "vectors")
     same = Window.partitionBy("vec").orderBy("id")
     limited = stored(rows.withColumn("copy", F.row_number().over(same)).where(F.col("copy") <= k + 1).select("id", "vec"), "candidates")
     total = limited.count()
-    if size < 2 or not total:
+    if not total:
         return spark.createDataFrame([], found)
     sample = _matrix(list(least_hashed(limited, "id", FIT_ROWS, total).toPandas()["vec"]), size)
     centroids = int(min(MOST_CENTROIDS, max(4, 2 ** round(np.log2(max(total, 12) / 12) / 2))))
