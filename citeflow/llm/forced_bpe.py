@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from struct import pack
 
 import numpy as np
@@ -33,6 +34,8 @@ PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\
 
 
 NO_MERGE = 1 << 60
+#: bytes of a fragment from which pairs wait in a heap
+LONG = 64
 
 
 def byte_alphabet() -> list[str]:
@@ -83,6 +86,8 @@ class ForcedBoundaryBpe:
 
     def _merge(self, fragment: bytes) -> bytes:
         """The lowest-ranked pair first, leftmost of equals; no later pair can rank lower."""
+        if len(fragment) > LONG:
+            return self._merge_long(fragment)
         ids, get = [self.single[b] for b in fragment], self.merges.get
         keys = [get(a << 20 | b, NO_MERGE) for a, b in zip(ids, ids[1:])]
         while keys:
@@ -98,6 +103,32 @@ class ForcedBoundaryBpe:
                 keys[i] = get(ids[i] << 20 | ids[i + 1], NO_MERGE)
         return pack(f"<{len(ids)}I", *ids)
 
+    def _merge_long(self, fragment: bytes) -> bytes:
+        """The same for a fragment of any length: pairs wait in a heap by rank and place, and a linked
+        list holds what is left; a pair whose ids have changed meanwhile is passed over."""
+        get = self.merges.get
+        ids = [self.single[b] for b in fragment]
+        n = len(ids)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        waiting = [(key, i) for i, (a, b) in enumerate(zip(ids, ids[1:])) if (key := get(a << 20 | b)) is not None]
+        heapify(waiting)
+        while waiting:
+            key, i = heappop(waiting)
+            j = after[i]
+            if j >= n or ids[i] < 0 or get(ids[i] << 20 | ids[j]) != key:
+                continue
+            ids[i], ids[j] = key & 0xFFFFF, -1
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (new := get(ids[i] << 20 | ids[k])) is not None:
+                    heappush(waiting, (new, i))
+            h = before[i]
+            if h >= 0 and (new := get(ids[h] << 20 | ids[i])) is not None:
+                heappush(waiting, (new, h))
+        left = [x for x in ids if x >= 0]
+        return pack(f"<{len(left)}I", *left)
+
     def _piece(self, piece: bytes) -> bytes:
         """Ids of one pre-token: cut where no token has the pair inside, encode each fragment."""
         joined, start, out = self.joined, 0, []

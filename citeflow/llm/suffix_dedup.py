@@ -440,7 +440,7 @@ def repeat_digest(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
         work, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with what is left of each text. A character that was cut in two goes whole."""
     schema = docs.schema
     at = docs.columns.index(text_col)
@@ -454,7 +454,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
             columns[at] = pa.array(left, pa.binary()).cast(columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    spans = repeated_spans(docs, length, id_col=id_col, text_col=text_col)
+    spans = repeated_spans(docs, length, gram, id_col, text_col)
     return _with_spans(docs, spans, id_col, text_col).mapInArrow(work, schema)
 
 
