@@ -27,7 +27,7 @@ from dataclasses import dataclass, field
 from functools import cached_property, reduce
 
 from pyspark.ml import Model, PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeflow import constants as K
@@ -69,19 +69,25 @@ class Tree:
     leaves: list[Leaf] = field(default_factory=list)
 
 
-def _read(node, leaves: list[Leaf]) -> Branch | Leaf:
+def _numbers(jvm, array) -> tuple[float, ...]:
+    """A Java array of doubles in one call."""
+    text = jvm.java.util.Arrays.toString(array)[1:-1]
+    return tuple(map(float, text.split(", "))) if text else ()
+
+
+def _read(jvm, node, leaves: list[Leaf]) -> Branch | Leaf:
     if node.getClass().getSimpleName() == "LeafNode":
-        leaves.append(Leaf(len(leaves), tuple(node.impurityStats().stats())))
+        leaves.append(Leaf(len(leaves), _numbers(jvm, node.impurityStats().stats())))
         return leaves[-1]
     s = node.split()
     if s.getClass().getSimpleName() == "ContinuousSplit":
         split = Split(s.featureIndex(), threshold=s.threshold())
     else:
-        left = tuple(s.leftCategories())
+        left = _numbers(jvm, s.leftCategories())
         # a category that the split has not seen is on the side of the larger set
         inside = len(left) <= s.numCategories() // 2
-        split = Split(s.featureIndex(), values=left if inside else tuple(s.rightCategories()), inside=inside)
-    return Branch(split, _read(node.leftChild(), leaves), _read(node.rightChild(), leaves))
+        split = Split(s.featureIndex(), values=left if inside else _numbers(jvm, s.rightCategories()), inside=inside)
+    return Branch(split, _read(jvm, node.leftChild(), leaves), _read(jvm, node.rightChild(), leaves))
 
 
 def _branches(node: Branch | Leaf):
@@ -99,6 +105,7 @@ class CompiledModel:
         java = classifier._java_obj
         self.features = list(features)
         self.is_forest = hasattr(classifier, "trees")
+        jvm = SparkSession.active()._jvm
         roots = [t.rootNode() for t in java.trees()] if self.is_forest else [java.rootNode()]
         self.classes = classifier.numClasses
         if classifier.numFeatures != len(self.features):
@@ -106,7 +113,7 @@ class CompiledModel:
         self.trees: list[Tree] = []
         for root in roots:
             leaves: list[Leaf] = []
-            self.trees.append(Tree(_read(root, leaves), leaves))
+            self.trees.append(Tree(_read(jvm, root, leaves), leaves))
         #: words of bits: feature, and the splits whose bits it holds
         self.words: list[tuple[int, list[Split]]] = []
         by_feature: dict[int, list[Split]] = {}

@@ -623,7 +623,7 @@ def _by_hour(spark, sf_dir, estimator):
     train, test = train_test(spark, sf_dir)
     features = fit_feature_model(train, cols=[], features=HOUR)
     model = train_model(train, features, estimator(features))
-    return score(model, test)
+    return score(model, test, compile_trees=True)
 
 
 @register("tree_by_hour", _BY_HOUR_SQL)
@@ -682,7 +682,7 @@ def q_batch_score_report(spark, sf_dir):
                             for c in K.CATEGORY_COLUMNS[::2]})
     rows = rows.unionByName(odd)
     keys = ["summons_number", "label", "prediction", "p_target", "predicted_label"]
-    return _agreement(score(f.forest, rows).select(*keys), score(f.forest, rows, compile_trees=False).select(*keys), keys)
+    return _agreement(score(f.forest, rows, compile_trees=True).select(*keys), score(f.forest, rows, compile_trees=False).select(*keys), keys)
 
 
 @register("evaluate_model")
