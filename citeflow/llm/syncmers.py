@@ -6,13 +6,18 @@ It is chosen if the least hash of its inner substrings lies at its first or last
 Whether a k-mer is chosen depends on its own words only, so a passage gives the same anchors
 wherever it stands, and any ``K - S`` neighbouring k-mers hold at least one.
 
-The fingerprint holds the ``SKETCH`` least hashes of the chosen k-mers: all of them for short
-texts, an even sample of the set for long ones. The likeness of two fingerprints estimates
-the share that their sets have in common (intersection by union).
+The fingerprint holds every chosen k-mer of the text, in order of position, as links: the
+hash of an anchor, of the anchor before it and of the distance between the two (the first: its
+own hash alone). A link that two texts share is thus two anchors that match at one offset.
+The likeness of two fingerprints is the number of distinct links in common by that in either.
+A common link whose rank among the common ones differs between the texts by more than ``DRIFT`` of
+their number stands in a passage that moved, and counts half. Ranks among common links do
+not change with what is inserted, deleted or edited between them.
 
 Results: a null or empty text, or one of white space only, has an empty fingerprint; a text
 of fewer than ``K`` words has its whole sequence as its only anchor; two empty fingerprints
-are alike (1), an empty and another are not (0); rows with a null id come first; rows with one
+are alike (1), an empty and another are not (0); a link that a text repeats counts once, where it
+first stands; rows with a null id come first; rows with one
 id follow one another by a hash of their text; with a single row the next document is the
 row itself; an empty input gives no rows; other columns are left out.
 """
@@ -25,7 +30,8 @@ from pyspark.sql import functions as F
 from citeflow.llm.common import document_columns, partitions_for, read
 
 K, S = 5, 2
-SKETCH = 128
+#: a common link has moved if its rank differs by more than one of so many parts
+DRIFT = 8
 #: rows that follow one another in one window; the document order is cut into ranges of about so many
 RANGE_ROWS = 4000
 MOST_RANGES = 10_000
@@ -53,15 +59,27 @@ def _anchors(prefix: str) -> Column:
         return (F.get(g, i) <= middle) | (F.get(g, i + last) <= middle) | (F.get(g, i) == F.get(g, i + last))
 
     places = F.filter(F.sequence(F.lit(0), F.greatest(F.size(w) - K, F.lit(0))), chosen)
-    picked = F.transform(places, lambda i: F.struct(i.alias("pos"), F.hash(*[F.get(w, i + j) for j in range(K)]).alias("hash")))
-    whole = F.array(F.struct(F.lit(0).alias("pos"), F.hash(w).alias("hash")))
+    picked = F.transform(places, lambda i: F.struct(i.alias("pos"), F.xxhash64(*[F.get(w, i + j) for j in range(K)]).alias("hash")))
+    whole = F.array(F.struct(F.lit(0).alias("pos"), F.xxhash64(w).alias("hash")))
     nothing = F.filter(whole, lambda _: F.lit(False))
     return F.when(F.size(w) == 0, nothing).when(F.size(w) < K, whole).otherwise(picked)
 
 
-def _sketch(prefix: str) -> Column:
-    hashes = F.transform(_anchors(prefix), lambda a: a["hash"])
-    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, SKETCH)
+def _with_links(df: DataFrame, text: str, prefix: str) -> DataFrame:
+    """Adds ``<prefix>_links``: the links between neighbouring anchors, in order of position."""
+    df = _with_words(df, text, prefix).withColumn(f"{prefix}_a", _anchors(prefix))
+    anchors = F.col(f"{prefix}_a")
+
+    def link(own: Column, i: Column) -> Column:
+        before = F.get(anchors, i - 1)
+        return F.when(i == 0, own["hash"]).otherwise(F.xxhash64(before["hash"], own["hash"], own["pos"] - before["pos"]))
+
+    return df.withColumn(f"{prefix}_links", F.transform(anchors, link)).drop(f"{prefix}_w", f"{prefix}_g", f"{prefix}_a")
+
+
+def _written(links: Column) -> Column:
+    """Links as text: their eight bytes each, one after another, in base 64."""
+    return F.replace(F.base64(F.unhex(F.array_join(F.transform(links, lambda x: F.lpad(F.hex(x), 16, "0")), ""))), F.lit("\r\n"), F.lit(""))
 
 
 def closed_syncmers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -70,12 +88,20 @@ def closed_syncmers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return df.select("doc_id", F.size("own_w").alias("n_words"), _anchors("own").alias("anchors"))
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Intersection by union of two sets, from their least hashes: among the least of both
-    together, the share that stands in both."""
-    least = F.slice(F.sort_array(F.array_union(a, b)), 1, F.greatest(F.least(F.lit(SKETCH), F.size(a) + F.size(b)), F.lit(1)))
-    shared = F.size(F.array_intersect(least, F.array_intersect(a, b)))
-    return F.when(F.size(least) == 0, F.lit(1.0)).otherwise(shared / F.greatest(F.size(least), F.lit(1)))
+def with_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """Adds ``name``: the likeness (0 to 1) of the link arrays ``a`` and ``b``."""
+
+    def ranked(links: Column) -> Column:
+        return F.sort_array(F.transform(links, lambda x, i: F.struct(x.alias("link"), i.alias("rank"))))
+
+    # the same links twice, in the order of either text; sorted by link they stand side by side
+    df = df.withColumn("in_a", F.array_intersect(a, b)).withColumn("in_b", F.array_intersect(b, a))
+    common = F.size("in_a")
+    drifts = F.zip_with(ranked(F.col("in_a")), ranked(F.col("in_b")), lambda x, y: F.abs(x["rank"] - y["rank"]))
+    moved = F.size(F.filter(drifts, lambda d: d * DRIFT > F.greatest(common, F.lit(DRIFT))))
+    either = F.size(F.array_union(a, b))
+    share = F.when(either == 0, F.lit(1.0)).otherwise((common - moved / 2) / F.greatest(either, F.lit(1)))
+    return df.withColumn(name, share).drop("in_a", "in_b")
 
 
 def _ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -124,19 +150,16 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Per row: ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``.
     The edited text has the last half of its code points replaced by the first as many of the next."""
     docs = document_columns(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    own = _with_words(docs, "text", "own").select("doc_id", "text", _sketch("own").alias("sketch"))
-    both = with_next(own, ["text", "sketch"]).withColumn("n_chars", F.length("text").cast("long"))
+    own = _with_links(docs, "text", "own").withColumnRenamed("own_links", "links")
+    both = with_next(own, ["text", "links"]).withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("next_text", F.lit(1), half))
-    both = both.withColumn("edited", edited).select("doc_id", "n_chars", "sketch", "next_sketch", "edited")
-    both = _with_words(both, "edited", "ed").select(
-        "doc_id", "n_chars", "sketch", "next_sketch", F.sha2("edited", 256).alias("edited_sha256"), _sketch("ed").alias("edited_sketch"))
+    both = both.withColumn("edited", edited).select("doc_id", "n_chars", "links", "next_links", "edited")
+    both = _with_links(both, "edited", "ed").withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
+    both = with_likeness(with_likeness(both, "links", "ed_links", "near_edited"), "links", "next_links", "near_next")
     return both.select(
-        "doc_id", "n_chars", "edited_sha256",
-        F.array_join(F.col("sketch").cast("array<string>"), " ").alias("fingerprint"),
-        F.array_join(F.col("edited_sketch").cast("array<string>"), " ").alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+        "doc_id", "n_chars", "edited_sha256", _written(F.col("links")).alias("fingerprint"),
+        _written(F.col("ed_links")).alias("edited_fingerprint"), "near_edited", "near_next")
 
 
 def op8_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,10 @@
 """Whole results of each operator against plain brute force on small tables."""
 
+import base64
 import hashlib
 import math
 import random
+import struct
 import zlib
 from collections import Counter
 
@@ -243,9 +245,11 @@ def test_fingerprints(docs, texts, monkeypatch):
         assert got[d]["n_chars"] == len(own) and got[d]["edited_sha256"] == hashlib.sha256(edited[d].encode()).hexdigest()
 
     def alike(a, b):
-        a, b = set(a.split()), set(b.split())
-        least = sorted(map(int, a | b))[:syncmers.SKETCH]
-        return 1.0 if not least else sum(str(x) in a and str(x) in b for x in least) / len(least)
+        a, b = (list(dict.fromkeys(struct.unpack(f">{len(x) // 8}q", x))) for x in map(base64.b64decode, (a, b)))
+        common = [x for x in a if x in set(b)]
+        place = {x: i for i, x in enumerate(x for x in b if x in set(a))}
+        moved = sum(abs(i - place[x]) * syncmers.DRIFT > max(len(common), syncmers.DRIFT) for i, x in enumerate(common))
+        return 1.0 if not a and not b else (len(common) - moved / 2) / len(set(a) | set(b))
 
     for i, d in enumerate(ids):
         after = got[ids[(i + 1) % len(ids)]]
@@ -258,6 +262,26 @@ def test_fingerprints(docs, texts, monkeypatch):
     assert np.mean([r["near_edited"] > r["near_next"] for r in long]) > 0.95
 
 
+def test_fingerprints_see_edits_order_and_small_shares(spark):
+    rng = random.Random(61)
+    w = prose(rng, 8000, 10**6).split()
+    edited = list(w)
+    for i in range(500, 8000, 1300):
+        edited[i] = f"edit{i}"
+    blocks = [w[i:i + 400] for i in range(0, 8000, 400)]
+    rng.shuffle(blocks)
+    one = prose(rng, 4000, 10**6).split()
+    other = prose(rng, 2000, 10**6).split() + one[1000:1200] + prose(rng, 2000, 10**6).split()
+    inserted = w[:3000] + prose(rng, 300, 10**6).split() + w[3000:]
+    texts = [w, edited, w, sum(blocks, []), w, inserted, one, other]
+    got = {r["doc_id"]: r for r in syncmers.fingerprints(documents(spark, [(i, " ".join(t)) for i, t in enumerate(texts)])).collect()}
+    assert got[0]["fingerprint"] == got[2]["fingerprint"] == got[4]["fingerprint"] != got[1]["fingerprint"]
+    assert 0.98 < got[0]["near_next"] < 1  # six edits in 8,000 words
+    assert got[2]["near_next"] < 0.75  # the same words, 20 blocks in another order
+    assert 0.9 < got[4]["near_next"] < 1  # nothing moved but 300 words came in between
+    assert 0.01 < got[6]["near_next"] < 0.05  # 200 words of 4,200 in common
+
+
 def test_syncmers_are_chosen_by_their_own_words(spark):
     rng = random.Random(6)
     passage = prose(rng, 80)
