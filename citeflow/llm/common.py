@@ -83,14 +83,42 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._stored_at = path
+    if Scratch.open:
+        Scratch.open[-1].tables.append(back)
     return back
 
 
-def release(df: DataFrame) -> None:
-    """Delete a table that ``stored`` returned, once its last reader has been written."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` returned, once their last readers have been written. Shuffle files
+    of the jobs that are done go when the driver's JVM collects their plans, so it is asked to."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if tables:
+        spark._jvm.System.gc()
+
+
+class Scratch:
+    """``with Scratch() as scratch``: at its end, what ``stored`` wrote inside is deleted, but for the tables
+    given to ``scratch.keep``, which the result still reads."""
+
+    open: list[Scratch] = []
+
+    def __enter__(self) -> Scratch:
+        self.tables: list[DataFrame] = []
+        Scratch.open.append(self)
+        return self
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.tables = [t for t in self.tables if t is not df]
+        if len(Scratch.open) > 1:
+            Scratch.open[-2].tables.append(df)  # the caller's, if it has a scope of its own
+        return df
+
+    def __exit__(self, *_) -> None:
+        Scratch.open.remove(self)
+        release(*self.tables)
 
 
 def least_hashed(df: DataFrame, key: str, n: int, total: int) -> DataFrame:

@@ -12,6 +12,10 @@
   suffix and of all rows in turn, each by ``STRENGTH`` rows. These are grouped sums over all
   rows; a row's own share is taken out of what it is judged by.
 
+Beside the languages stands an unknown one. Its texts are single bytes, as frequent as in all fitted
+languages together; it has ``UNKNOWN`` of the prior and bears declared values and suffixes as all rows
+do. Text in a language without labels, or in none, has few of a model's trigrams and falls to it.
+
 A row is rejected if its text holds no letter (bytes A-Z, a-z or beyond ASCII) and it declares
 nothing known, or if no language reaches ``LEAST`` of the fused probability.
 
@@ -29,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from citeflow.llm.common import read, stored, text_blocks
+from citeflow.llm.common import Scratch, read, stored, text_blocks
 
 FIT_ROWS = 2000
 MOST_LANGS = 64
@@ -37,6 +41,7 @@ TRIGRAMS = 1 << 18
 TEMPER = 0.3
 STRENGTH = 8.0
 LEAST = 0.5
+UNKNOWN = 0.01
 SMOOTH = 0.5
 #: bytes of text that a task works on at a time
 BLOCK = 1 << 20
@@ -49,20 +54,20 @@ MARKUP = r"(?is)<html[^>]*?\slang\s*=\s*[\"']?([a-z]{2,3})"
 TAGS = r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-z#0-9]{1,10};"
 
 
-def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Trigram slots and bigrams of the joined texts, where each text's grams begin, and how many."""
+def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Trigram slots, bigrams and last bytes of the joined texts' trigrams, where each text's grams begin, and how many."""
     joined = b"".join(b"  " + t for t in texts)
     buf = LOWER[np.frombuffer(joined, np.uint8)].astype(np.uint32)
     pair = (buf[:-2] << 8) | buf[1:-1] if len(buf) > 2 else np.zeros(0, np.uint32)
     slot = ((pair * np.uint32(0x9E3779B1)) ^ (buf[2:] * np.uint32(0x85EBCA77))) >> np.uint32(32 - 18) if len(buf) > 2 else pair
     sizes = np.array([len(t) for t in texts], np.int64)
     starts = np.cumsum(sizes + 2) - sizes - 2
-    return slot, pair, starts, sizes
+    return slot, pair, buf[2:], starts, sizes
 
 
-def fit_text_model(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray, np.ndarray]:
+def fit_text_model(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Languages, and log probabilities by language of trigram slots (``P(third | two)`` is the slot's
-    count over the pair's) and of pairs. The counts are grouped sums over the fitting rows."""
+    count over the pair's) and of pairs; and those of single bytes over all languages. The counts are grouped sums over the fitting rows."""
     rows = labelled.select(F.col(id_col).alias("id"), F.lower(F.col(lang_col)).alias("lang"), F.col(text_col).cast("string").alias("text"))
     rows = rows.where("id is not null and text is not null and lang is not null")
     counts = rows.groupBy("lang").agg(F.count("*").alias("of")).orderBy(F.desc("of"), "lang").limit(MOST_LANGS)
@@ -80,7 +85,7 @@ def fit_text_model(labelled: DataFrame, id_col: str = "doc_id", text_col: str =
             for part, texts in text_blocks(batch, "text", BLOCK):
                 own = langs[part]
                 for lang in set(own):
-                    slot, pair, starts, sizes = _grams([t for t, l in zip(texts, own) if l == lang])
+                    slot, pair, _, starts, sizes = _grams([t for t, l in zip(texts, own) if l == lang])
                     keep = np.zeros(len(slot), bool)
                     for s, n in zip(starts.tolist(), sizes.tolist()):
                         keep[s:s + n] = True
@@ -97,21 +102,23 @@ def fit_text_model(labelled: DataFrame, id_col: str = "doc_id", text_col: str =
     for i, lang in enumerate(langs):
         own = counted[counted["lang"] == lang]
         tables[i, own["cell"]] = own["n"]
-    return langs, np.log(tables[:, :TRIGRAMS] + 1 / 256).astype(np.float32), np.log(tables[:, TRIGRAMS:] + 1.0).astype(np.float32)
+    single = tables[:, TRIGRAMS:].sum(axis=0).reshape(256, 256).sum(axis=0) + SMOOTH
+    return langs, np.log(tables[:, :TRIGRAMS] + 1 / 256).astype(np.float32), np.log(tables[:, TRIGRAMS:] + 1.0).astype(np.float32), np.log(single / single.sum())
 
 
 def _likelihoods(table):
-    """``key, letters, likelihood`` (log, per language, tempered) of each text, whole."""
+    """``key, letters, likelihood`` (log, per language and of the unknown one, tempered) of each text, whole."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, tri, two = table.value
+        _, tri, two, single = table.value
         for batch in batches:
             for rows, texts in text_blocks(batch, "text", BLOCK):
-                slot, pair, starts, sizes = _grams(texts)
-                out = np.zeros((len(texts), len(tri)))
+                slot, pair, third, starts, sizes = _grams(texts)
+                out = np.zeros((len(texts), len(tri) + 1))
                 some = sizes > 0
-                for i in range(len(tri)):
-                    sums = np.concatenate([[0.0], np.cumsum(tri[i][slot].astype(np.float64) - two[i][pair])])
+                for i in range(len(tri) + 1):
+                    gain = tri[i][slot].astype(np.float64) - two[i][pair] if i < len(tri) else single[third]
+                    sums = np.concatenate([[0.0], np.cumsum(gain)])
                     out[some, i] = sums[starts[some] + sizes[some]] - sums[starts[some]]
                 letters = [bool(LETTER[np.frombuffer(t, np.uint8)].any()) for t in texts]
                 yield pa.RecordBatch.from_arrays([batch.column("key")[rows], pa.array(letters), pa.array((TEMPER * out).tolist(), pa.list_(pa.float64()))],
@@ -151,9 +158,10 @@ def identify(rows: DataFrame, model: tuple) -> DataFrame:
     known = F.when(F.array_contains(names, F.col("declared")), F.col("declared"))
     packed = side.select(F.struct("key", known.alias("declared"), "host", "domain", "suffix").alias("key"), "text")
     seen = packed.mapInArrow(_likelihoods(table), f"key struct<key:{kind},declared:string,host:string,domain:string,suffix:string>, letters boolean, likelihood array<double>")
-    seen = seen.select("key.*", "letters", "likelihood")
+    prior_of_unknown = F.lit(float(np.log(UNKNOWN)))
+    seen = seen.select("key.*", "letters", F.slice("likelihood", 1, n).alias("likelihood"), (F.get("likelihood", F.lit(n)) + prior_of_unknown).alias("unknown"))
     flat = F.array_repeat(F.lit(1.0 / n), n)
-    seen = stored(seen.withColumn("posterior", F.when(F.col("letters"), _softmax(F.col("likelihood"))).otherwise(flat)), "likelihoods")
+    seen = stored(seen.withColumn("posterior", F.when(F.col("letters"), F.slice(_softmax(F.concat("likelihood", F.array("unknown"))), 1, n)).otherwise(flat)), "likelihoods")
 
     total = seen.agg(*[F.coalesce(F.sum(F.col("posterior")[i]), F.lit(0.0)) for i in range(n)]).first()
     mass = sum(total) or 1.0
@@ -179,11 +187,20 @@ def identify(rows: DataFrame, model: tuple) -> DataFrame:
 
     text = F.when(F.col("letters"), F.col("likelihood")).otherwise(F.array_repeat(F.lit(0.0), n))
     fused = F.zip_with(F.zip_with(text, evidence("declared"), lambda a, b: a + b), F.zip_with(evidence("suffix"), F.transform("prior", lambda p: F.log(p)), lambda a, b: a + b), lambda a, b: a + b)
-    out = out.withColumn("fused", fused).withColumn("fused", _softmax(F.col("fused")))
+
+    def borne(key: str) -> Column:
+        """log of the share of all rows that bear the value."""
+        rows_with = F.aggregate(f"n_{key}", F.lit(SMOOTH), lambda a, b: a + b)
+        return F.when(F.col(f"n_{key}").isNull(), 0.0).otherwise(F.log(rows_with / F.lit(float(mass) + 1.0)))
+
+    neither = F.when(F.col("letters"), F.col("unknown")).otherwise(prior_of_unknown) + borne("declared") + borne("suffix")
+    out = out.withColumn("fused", F.concat(fused, F.array(neither)))
+    out = out.withColumn("fused", F.slice(_softmax(F.col("fused")), 1, n))
     best = F.array_max("fused")
     lang = F.get(names, (F.array_position("fused", best) - 1).cast("int"))
+    by_text = F.aggregate("posterior", F.lit(0.0), lambda a, b: a + b) >= LEAST
     rejected = (~F.col("letters") & F.col("declared").isNull()) | (best < LEAST)
-    return out.select("key", F.when(F.col("letters"), F.get(names, (F.array_position("posterior", F.array_max("posterior")) - 1).cast("int"))).alias("text_lang"),
+    return out.select("key", F.when(F.col("letters") & by_text, F.get(names, (F.array_position("posterior", F.array_max("posterior")) - 1).cast("int"))).alias("text_lang"),
                       F.when(~rejected, lang).alias("lang"), best.alias("probability"), rejected.alias("rejected"))
 
 
@@ -200,7 +217,8 @@ def known_language(docs: DataFrame, model: tuple) -> DataFrame:
     """``docs`` without the rejected ones. The declared language is ``lang``, the host ``source``."""
     key = F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text", "lang", "source").alias("hash"))
     rows = docs.select(key.alias("key"), F.col("text").cast("string").alias("text"), F.col("lang").alias("declared"), F.col("source").alias("host"))
-    gone = stored(identify(rows, model).where("rejected").select("key.*").distinct(), "rejected")
+    with Scratch() as scratch:
+        gone = scratch.keep(stored(identify(rows, model).where("rejected").select("key.*").distinct(), "rejected"))
     same = F.col("doc_id").cast("long").eqNullSafe(gone["id"]) & (F.xxhash64(docs["text"], docs["lang"], docs["source"]) == gone["hash"])
     return docs.join(gone, same, "left_anti")
 
