@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeflow.llm.common import document_columns, read, stored
+from citeflow.llm.common import Scratch, document_columns, read, release, stored
 
 DEPTH = 3
 SIMILARITY = 0.7
@@ -89,6 +89,7 @@ def recurring_lines(docs: DataFrame, told: DataFrame, id_col: str = "doc_id", te
     places = told.select("key", F.posexplode("lines").alias("at", "l")).where("l.some").select("key", "at", "l.leaf", "l.line")
     places = places.join(leaves, "leaf", "left_semi").join(exact, ["leaf", "line"], "left_anti")
     places = stored(places.groupBy("leaf", "line").agg(F.min(F.struct("key", "at")).alias("p")).select("leaf", "line", "p.*"), "places")
+    release(leaves)
     slots = places.select(F.pmod("key", F.lit(SLOTS)).alias("slot")).distinct()  # at most SLOTS rows
     texts = docs.select(_row_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     texts = texts.join(F.broadcast(slots), F.pmod("key", F.lit(SLOTS)) == F.col("slot"), "left_semi")
@@ -108,12 +109,13 @@ def recurring_lines(docs: DataFrame, told: DataFrame, id_col: str = "doc_id", te
 
 def _with_drops(docs: DataFrame, id_col: str, text_col: str, shapes: int, similarity: float) -> DataFrame:
     """``row`` (all columns of ``docs``) and ``drops``: the numbers of the lines it loses (null: none)."""
-    told = stored(told_lines(docs, id_col, text_col), "told")
-    dropped = recurring_lines(docs, told, id_col, text_col, shapes, similarity)
-    # a line of a third of all documents is one key of this join: its other side is one row
-    own = told.select("id", "key", F.posexplode("lines").alias("at", "l")).where("l.some").select("id", "key", "at", "l.line")
-    own = own.join(dropped, "line", "left_semi").groupBy("id", "key").agg(F.collect_set("at").alias("drops"))
-    own = own.withColumnsRenamed({"id": "own_id", "key": "own_key"})
+    with Scratch() as scratch:
+        told = stored(told_lines(docs, id_col, text_col), "told")
+        dropped = recurring_lines(docs, told, id_col, text_col, shapes, similarity)
+        # a line of a third of all documents is one key of this join: its other side is one row
+        own = told.select("id", "key", F.posexplode("lines").alias("at", "l")).where("l.some").select("id", "key", "at", "l.line")
+        own = own.join(dropped, "line", "left_semi").groupBy("id", "key").agg(F.collect_set("at").alias("drops"))
+        own = scratch.keep(stored(own.withColumnsRenamed({"id": "own_id", "key": "own_key"}), "drops"))
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), _row_key(id_col, text_col).alias("key"))
     return rows.join(own, F.col("id").eqNullSafe(F.col("own_id")) & (F.col("key") == F.col("own_key")), "left").select("row", "drops")
 

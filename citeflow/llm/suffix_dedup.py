@@ -35,8 +35,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeflow.llm.common import (BASE, BASE_INV, BYTE_HASH, U64, document_columns, mix, partitions_for, powers, read,
-                                 signed, stored, text_blocks)
+from citeflow.llm.common import (BASE, BASE_INV, BYTE_HASH, U64, Scratch, document_columns, mix, partitions_for, powers, read,
+                                 release, signed, stored, text_blocks)
 
 LENGTH = 400
 GRAM = 144
@@ -345,35 +345,43 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, row_key, start, end``: byte intervals (they may overlap) that cover exactly what
     goes; ``row_key`` tells rows with one id apart."""
-    spark = docs.sparkSession
     docs = _keyed(docs, id_col, text_col)
+    with Scratch() as scratch:
+        spans = [scratch.keep(s) for s in _span_tables(docs, length, gram)]
+    return reduce(DataFrame.unionByName, spans)
+
+
+def _span_tables(docs: DataFrame, length: int, gram: int) -> list[DataFrame]:
+    """Stored tables of spans, one or two for each step."""
+    spark = docs.sparkSession
     found = stored(docs.mapInArrow(_occurrences(length, gram), OCCURRENCE), "anchors")
     one = F.struct("doc_id", "row_key", "pos")
-    around = found.groupBy("gram", "around").agg(F.count("*").alias("n"), F.min("doc_id").alias("d"))
+    around = found.groupBy("gram", "around").agg(F.count("*").alias("n"), F.min(one).alias("at"))
     around = stored(around.join(around.groupBy("gram").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
                                 .where("total > 1"), "gram"), "around")
     # 2: surroundings that occur twice go everywhere
     twice = around.where("n > 1").select("gram", "around")
-    meet = around.where("kinds > 1").select("gram", "around", "n")
-    spans = [found.join(twice, ["gram", "around"]).select("doc_id", "row_key", F.col("lo").alias("start"), F.col("hi").alias("end"))]
+    meet = around.where("kinds > 1").select("gram", "around", "n", "at.*")
+    spans = [stored(found.join(twice, ["gram", "around"]).select("doc_id", "row_key", F.col("lo").alias("start"), F.col("hi").alias("end")), "spans")]
+    release(found)
     # 3: one occurrence of each of the others, with its bytes
     marked = spark.sparkContext.broadcast(_bit_table(meet))
-    chosen = (found.join(meet, ["gram", "around"]).groupBy("gram", "around", "n").agg(F.min(one).alias("at"))
-              .select("gram", "around", "n", "at.*"))
     cut = docs.mapInArrow(_surroundings(marked, length, gram), "doc_id long, row_key long, pos long, gram long, around long, left long, bytes binary")
-    same = [cut[c].eqNullSafe(chosen[c]) for c in ("gram", "around", "doc_id", "row_key", "pos")]
-    level = stored(cut.join(chosen, same).select(cut["doc_id"], cut["row_key"], cut["pos"], cut["gram"].alias("g"), cut["around"],
+    same = [cut[c].eqNullSafe(meet[c]) for c in ("gram", "around", "doc_id", "row_key", "pos")]
+    level = stored(cut.join(meet, same).select(cut["doc_id"], cut["row_key"], cut["pos"], cut["gram"].alias("g"), cut["around"],
                                                  "n", "left", "bytes").dropDuplicates(["g", "around"])
                    .withColumns({"near": F.lit(0), "far": F.lit(length - gram)}), "surroundings")
+    release(around)
     while True:
         sizes = level.groupBy("g").agg(F.count("*").alias("size"))
         groups = stored(level.join(sizes.where("size > 1"), "g"), "groups")
+        release(level)
         large, rows = groups.agg(F.max("size") > GROUP, F.count("*")).first()
         local = groups.where(F.col("size") <= GROUP).select("g", "n", "doc_id", "row_key", "pos", "left", "bytes")
         spans.append(stored(local.repartition(partitions_for(spark, rows, 20_000), "g")
                             .mapInArrow(_matches(length, gram), "doc_id long, row_key long, start long, end long"), "spans"))
         if not large:
-            return reduce(DataFrame.unionByName, spans)
+            return spans
         # 4: halves of the windows' starts, told by how many bytes before the anchor they stand
         mid = ((F.col("near") + F.col("far")) / 2).cast("int")
         halves = F.array(F.struct(F.col("near").alias("lo"), mid.alias("hi")), F.struct((mid + 1).alias("lo"), F.col("far").alias("hi")))
@@ -389,11 +397,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
                                     F.xxhash64("g", "lo", "hi", "core").alias("g"), F.xxhash64("bytes", "l", "r", F.lit(1)).alias("around")), "halves")
         counts = split.groupBy("g", "around").agg(F.sum("n").alias("total"), F.min(one).alias("first"))
         both = stored(split.join(counts, ["g", "around"]), "both")
-        spans.append(both.where("total > 1 and n = 1").select(
+        release(groups, split)
+        spans.append(stored(both.where("total > 1 and n = 1").select(
             "doc_id", "row_key", (F.col("pos") - F.col("left")).alias("start"),
-            (F.col("pos") - F.col("left") + F.length("bytes")).alias("end")))
+            (F.col("pos") - F.col("left") + F.length("bytes")).alias("end")), "spans"))
         level = stored(both.where(one.eqNullSafe(F.col("first"))).drop("n", "first").withColumnRenamed("total", "n")
                        .dropDuplicates(["g", "around"]), "surroundings")
+        release(both)
 
 
 def _cut(texts: list[bytes], spans: list[list[dict] | None]) -> Iterator[tuple[bytes, int, int]]:

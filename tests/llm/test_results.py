@@ -349,7 +349,7 @@ def test_pipeline_stages(spark, docs, texts):
     one = {r["doc_id"] for r in stages["jaccard_join"](spark, docs, SF).collect()}
     assert one == {d for d, (_, c) in brute_components(texts).items() if c == d}
     cut = {r["doc_id"]: r for r in stages["suffix_dedup"](spark, docs, SF).collect()}
-    for d, (_, gone, _, sha) in brute_repeats({d: t.encode() for d, t in texts.items()}).items():
+    for d, (_, gone, _, sha) in brute_repeats({d: t.encode() for d, t in texts.items()}, corpus_pipeline.PASSAGE).items():
         assert cut[d]["n_chars"] == len(cut[d]["text"])
         if texts[d].isascii() or not gone:
             assert hashlib.sha256(cut[d]["text"].encode()).hexdigest() == sha
