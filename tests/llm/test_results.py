@@ -176,6 +176,28 @@ def test_near_duplicates(spark, monkeypatch, limits):
     assert got == brute_components(dict(rows))
 
 
+def test_pages_of_one_component_do_not_meet(spark, monkeypatch):
+    monkeypatch.setattr(partenum, "PAGE_ITEMS", 1000)
+    rows = [(1, i, 7, 100) for i in range(300)] + [(1, 1000 + i, 1000 + i, 100) for i in range(12)]  # a large component and 12 classes apart
+    rows += [(2, i, 7, 100) for i in range(50)]  # one component only
+    rows += [(3, i, i % 2, 100) for i in range(6)]  # small: one page
+    sized = spark.createDataFrame(rows, "center long, class long, component long, n long")
+    met = {}
+    for r in partenum.page_pairs(sized).collect():
+        met.setdefault((r["center"], r["lo"], r["hi"]), []).append((r["page"], r["class"], r["component"]))
+    assert {c for c, _, _ in met} == {1, 3}
+    pairs = set()
+    for (c, lo, hi), own in met.items():
+        for p, x, a in own:
+            for q, y, b in own:
+                if x < y and a != b and {p, q} == {lo, hi}:
+                    pairs.add((c, x, y))
+    want = {(c, x, y) for c, x, a, _ in rows for d, y, b, _ in rows if c == d and x < y and a != b}
+    assert pairs == want
+    # 30 + 2 pages: all pairs of pages would have held every class 32 times
+    assert sum(len(own) for (c, _, _), own in met.items() if c == 1) <= 300 * 2 + 12 * 32
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(900, 16))
