@@ -25,6 +25,7 @@ import operator
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import cached_property, reduce
+from weakref import WeakKeyDictionary
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -201,13 +202,15 @@ class CompiledModel:
         }).drop("_known", "_total", *names)
 
 
-_COMPILED: dict[str, CompiledModel] = {}
+_COMPILED: WeakKeyDictionary[Model, dict[tuple, CompiledModel]] = WeakKeyDictionary()
 
 
 def compiled(model: Model, features: Sequence[str] = K.FEATURES) -> CompiledModel:
-    """The compiled form of a fitted model, read once per model and session."""
+    """The compiled form of a fitted model, read once per model. A copy that was saved and loaded has the
+    uid of its model; it is read itself all the same."""
     classifier = model.stages[-1] if isinstance(model, PipelineModel) else model
-    key = f"{classifier.uid}|{','.join(features)}"
-    if key not in _COMPILED:
-        _COMPILED[key] = CompiledModel(model, features)
-    return _COMPILED[key]
+    forms = _COMPILED.setdefault(classifier, {})
+    key = tuple(features)
+    if key not in forms:
+        forms[key] = CompiledModel(model, features)
+    return forms[key]

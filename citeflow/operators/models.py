@@ -165,10 +165,6 @@ def train_model(train: DataFrame, feature_model: PipelineModel, estimator) -> Pi
     return train_models(train, feature_model, [estimator])[0]
 
 
-#: estimated input from which compiled trees pay: a forest of 20 breaks even at some two million rows
-COMPILE_BYTES = 256 << 20
-
-
 def index_rows(model: PipelineModel, df: DataFrame) -> DataFrame:
     """``df`` with the columns that the model's vector is assembled from, the vector left out."""
     return PipelineModel(stages=[s for s in model.stages[:-1] if not isinstance(s, VectorAssembler)]).transform(df)
@@ -180,15 +176,12 @@ def compiled_parts(model: PipelineModel) -> CompiledModel:
 
 
 def score(model: PipelineModel, df: DataFrame, target_class: int = K.TARGET_CLASS,
-          decode: bool = True, compile_trees: bool | None = None) -> DataFrame:
+          decode: bool = True, compile_trees: bool = True) -> DataFrame:
     """Batch (or stream) scoring: prediction, class probability and label text.
 
-    With ``compile_trees`` the classifier runs as Catalyst expressions over the index columns
-    (``operators.compiled``); without, the model itself scores assembled vectors, row by row. The
-    numbers are the same to the bit. Planning and compiling the expressions costs a second or two, so
-    where nothing is said they are used for inputs that the optimizer takes for ``COMPILE_BYTES`` or more."""
-    if compile_trees is None:
-        compile_trees = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) >= COMPILE_BYTES
+    The classifier runs as Catalyst expressions over the index columns (``operators.compiled``), whatever
+    the size of the input; with ``compile_trees=False`` the model itself scores assembled vectors, row by
+    row. The numbers are the same to the bit."""
     if compile_trees and isinstance(model.stages[-1], (DecisionTreeClassificationModel, RandomForestClassificationModel)):
         out = compiled_parts(model).transform(index_rows(model, df))
         # as the assembler does: a null feature is an error
