@@ -30,3 +30,38 @@ def test_a_loaded_copy_is_read_itself(spark, sf_small, tmp_path):
         assert rows == sorted(map(tuple, score(f.tree, f.test, compile_trees=False).select(*keys).collect()))
     finally:
         tree._resetUid(uid)
+
+
+def test_only_the_models_that_are_read_are_fitted(spark, sf_small, monkeypatch):
+    from citeflow.operators import models
+    from citeflow.plans import batch_job, catalog
+    fits = []
+    plain = models.train_models
+    monkeypatch.setattr(models, "train_models", lambda train, features, ests: fits.append(len(ests)) or plain(train, features, ests))
+    monkeypatch.setattr(batch_job, "_CACHE", {})
+    assert catalog.QUERIES["shapley_additive"](spark, sf_small).count() == 15 and fits == []
+    f = batch_job.fitted(spark, sf_small, num_trees=2)
+    assert f.forest is f.forest and fits == [1] and list(f.models) == ["forest"]
+    assert f.fit("forest", "tree").tree is f.tree and fits == [1, 1]
+    assert batch_job.fit_all(spark, sf_small, num_trees=1).fit("tree") and fits == [1, 1, 2]
+
+
+def test_the_clean_sets_the_method_limit_where_it_is_unset():
+    from citeflow.session import keep_methods_compiled
+
+    class Conf(dict):
+        def get(self, key, default):
+            return dict.get(self, key, default)
+
+        def set(self, key, value):
+            self[key] = value
+
+    class Session:
+        def __init__(self, **conf):
+            self.conf = Conf(conf)
+
+    key = "spark.sql.codegen.hugeMethodLimit"
+    plain, told = Session(), Session(**{key: "65535"})
+    keep_methods_compiled(plain)
+    keep_methods_compiled(told)
+    assert plain.conf == {key: "8000"} and told.conf == {key: "65535"}
